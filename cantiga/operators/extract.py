@@ -110,7 +110,8 @@ def extract_site(pages: DataFrame, layout: SiteLayout) -> DataFrame:
 
     The path tells what a page is: the artist index, an artist (one segment) or a song
     (two). Each page is only searched for what its kind holds. Gives ``page_id, kind,
-    path, views_text, links, songs, content``; the page itself is not carried on.
+    path, views_text, links, songs, content``; the page itself is not carried on. The
+    path of an index page is its whole URL.
     """
     path = N.strip_slashes(N.url_path(F.col("url")))
     index = layout.index_path.strip("/")
@@ -120,8 +121,10 @@ def extract_site(pages: DataFrame, layout: SiteLayout) -> DataFrame:
         .when((path != "") & (depth == 1), "artist")
         .when(depth == 2, "song")
     )
+    # An index may come in several pages that differ in the query only.
+    place = F.when(kind == "index", F.col("url")).otherwise(path)
     typed = (
-        pages.select("page_id", path.alias("path"), kind.alias("kind"), "html")
+        pages.select("page_id", place.alias("path"), kind.alias("kind"), "html")
         .where(F.col("kind").isNotNull())
         .withColumn("html", H.strip_hidden(F.col("html")))
         .withColumn("_index", F.when(F.col("kind") == "index", F.col("html")))

@@ -31,27 +31,25 @@ def keywords_of(rules: DataFrame, scope: str) -> DataFrame:
     return rules.where(F.col("scope") == scope).select(form).where("keyword <> ''").distinct()
 
 
+def _word_runs(words: Column, n: int) -> Column:
+    """All runs of ``n`` neighbouring words."""
+    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
+    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
+    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+
 def matching_ids(df: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
     """Keys of the rows whose text holds any keyword, by joining runs of words.
 
-    Every run of up to as many words as the longest keyword has is looked up. The list
-    may be of any length.
+    A text gives its runs of as many words as some keyword has, and they are looked up
+    by equality, so the list may be of any length.
     """
-    longest = keywords.agg(F.max(F.size(F.split("keyword", " ")))).first()[0] or 0
-    if longest == 0:
-        return df.select(key).limit(0)
+    sizes = keywords.select(F.size(F.split("keyword", " ")).alias("n")).distinct()
+    lengths = sorted(row["n"] for row in sizes.collect())
     words = df.select(F.col(key), F.split(F.btrim(word_form(F.col(text))), " ").alias("_w"))
-    runs = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(longest), F.size("_w"))),
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.size("_w") - n + 1),
-                lambda start: F.array_join(F.slice("_w", start, n), " "),
-            ),
-        )
-    )
+    runs = F.concat(*[_word_runs(F.col("_w"), n) for n in lengths])
     return (
-        words.select(key, F.explode(F.array_distinct(runs)).alias("keyword"))
+        words.select(key, F.explode(runs).alias("keyword"))
         .join(keywords, "keyword", "left_semi")
         .select(key)
         .distinct()

@@ -13,7 +13,8 @@ _DIGEST_CHARS = 4
 
 
 def batch_time(batch_ts: datetime) -> Column:
-    return F.lit(batch_ts).cast("timestamp_ntz")
+    """The time of a run as it is written, in no time zone."""
+    return F.lit(batch_ts.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def assign_ids(new: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:

@@ -84,7 +84,9 @@ def crawl_site(pages: DataFrame, layout: SiteLayout) -> Crawl:
 
 
 def extract_articles(pages: DataFrame) -> DataFrame:
-    """Pages of many sites with one song each: ``page_id, host, name, views, content``.
+    """Pages of many sites with one song each.
+
+    Gives ``page_id, url, host, name, views, content``.
 
     The heading names the song, the article's paragraphs are its lyrics, and the number
     in the path is its view count.
@@ -93,6 +95,7 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     title = F.regexp_extract(heading, r"(?is)^[^>]*>(.*?)(?:</h1\s*>|\z)", 1)
     cleaned = pages.select(
         "page_id",
+        "url",
         N.url_host(F.col("url")).alias("host"),
         dotted_int(F.regexp_extract(N.url_path(F.col("url")), "^/[a-z]+/([0-9]+)", 1)).alias(
             "views"
@@ -100,7 +103,12 @@ def extract_articles(pages: DataFrame) -> DataFrame:
         H.strip_hidden(F.col("html")).alias("html"),
     )
     return with_lyric_text(cleaned, "html", Selector("article"), "content").select(
-        "page_id", "host", ws_trim(H.plain_text(title)).alias("name"), "views", "content"
+        "page_id",
+        "url",
+        "host",
+        ws_trim(H.plain_text(title)).alias("name"),
+        "views",
+        "content",
     )
 
 
@@ -109,7 +117,8 @@ def crawl_articles(pages: DataFrame) -> Crawl:
 
     An artist has the views of their most viewed page.
     """
-    found = materialize(extract_articles(spread(pages, "page_id")), "articles")
+    found = extract_articles(spread(pages, "page_id")).drop("url")
+    found = materialize(found, "articles")
     per_host = found.groupBy(F.col("host").alias("slug")).agg(
         F.max("views").alias("views"), F.min("page_id").alias("seq")
     )
