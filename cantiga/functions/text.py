@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -39,6 +40,7 @@ COMMON_ENTITIES = [
     ("&middot;", "·"),
     ("&amp;", "&"),
 ]
+_NAMED_ENTITIES = json.dumps({"apos": "'"} | {n: chr(c) for n, c in name2codepoint.items()})
 _OTHER_ENTITY = "&(?!(?:lt|gt|quot|apos|nbsp|copy|middot|amp);)#?[0-9A-Za-z]+;"
 
 
@@ -48,8 +50,8 @@ def ws_trim(col: Column) -> Column:
 
 
 def ws_collapse(col: Column) -> Column:
-    """Each run of whitespace becomes one space."""
-    return F.regexp_replace(col, f"[{WS_CLASS}]+", " ")
+    """Each run of whitespace becomes one space; a single space is left alone."""
+    return F.regexp_replace(col, f"[{WS_CLASS}]{{2,}}|[{WS_CLASS}&&[^ ]]", " ")
 
 
 def drop_digits(col: Column) -> Column:
@@ -58,7 +60,7 @@ def drop_digits(col: Column) -> Column:
 
 def keep_word_chars(col: Column) -> Column:
     """Delete everything but letters, numbers, ``_`` and whitespace."""
-    return F.regexp_replace(col, rf"[^\p{{L}}\p{{N}}_{WS_CLASS}]+", "")
+    return F.regexp_replace(col, rf"[^a-zA-Z \p{{L}}\p{{N}}_{WS_CLASS}]+", "")
 
 
 def clean_for_detection(col: Column) -> Column:
@@ -95,11 +97,7 @@ def _code_point(number: Column) -> Column:
 
 def _unescape_piece(piece: Column) -> Column:
     """Decode the one entity a piece may start with."""
-    names = F.create_map(
-        *[F.lit(v) for name, cp in name2codepoint.items() for v in (name, chr(cp))],
-        F.lit("apos"),
-        F.lit("'"),
-    )
+    names = F.from_json(F.lit(_NAMED_ENTITIES), "map<string,string>")
     body = F.regexp_extract(piece, "^&(#?[0-9A-Za-z]+);", 1)
     decimal = F.regexp_extract(body, "^#([0-9]{1,8})$", 1)
     hexadecimal = F.regexp_extract(body, "^#[xX]([0-9A-Fa-f]{1,8})$", 1)

@@ -6,17 +6,21 @@ word character separates words, in the text and in the keyword.
 
 from __future__ import annotations
 
+import os
 import re
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantiga.operators.skew import lookup_join
+
 # Shortest and longest lyric kept, in characters.
 MIN_LYRIC_CHARS = 100
 MAX_LYRIC_CHARS = 4000
 
 # Up to this many keywords become one pattern; a longer list is joined.
-PATTERN_KEYWORDS = 200
+PATTERN_KEYWORDS = 20_000
 
 
 def word_form(col: Column) -> Column:
@@ -31,11 +35,9 @@ def keywords_of(rules: DataFrame, scope: str) -> DataFrame:
     return rules.where(F.col("scope") == scope).select(form).where("keyword <> ''").distinct()
 
 
-def _word_runs(words: Column, n: int) -> Column:
-    """All runs of ``n`` neighbouring words."""
-    starts = F.sequence(F.lit(1), F.size(words) - n + 1)
-    runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.when(F.size(words) >= n, runs).otherwise(F.array().cast("array<string>"))
+def _word_runs(form: Column, n: int) -> Column:
+    """All runs of ``n`` neighbouring words of a text in word form, overlaps included."""
+    return F.regexp_extract_all(form, F.lit(rf" (?=([^ ]++(?: [^ ]++){{{n - 1}}}) )"), 1)
 
 
 def matching_ids(df: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
@@ -46,16 +48,34 @@ def matching_ids(df: DataFrame, key: str, text: str, keywords: DataFrame) -> Dat
     """
     sizes = keywords.select(F.size(F.split("keyword", " ")).alias("n")).distinct()
     lengths = sorted(row["n"] for row in sizes.collect())
-    words = df.select(F.col(key), F.split(F.btrim(word_form(F.col(text))), " ").alias("_w"))
-    runs = F.concat(*[_word_runs(F.col("_w"), n) for n in lengths])
+    forms = df.select(F.col(key), word_form(F.col(text)).alias("_form"))
+    runs = F.concat(*[_word_runs(F.col("_form"), n) for n in lengths])
     return (
-        words.select(key, F.explode(runs).alias("keyword"))
-        .join(keywords, "keyword", "left_semi")
+        lookup_join(
+            forms.select(key, F.explode(runs).alias("keyword")),
+            keywords,
+            "keyword",
+            "left_semi",
+            key,
+        )
         .select(key)
         .distinct()
     )
 
 
+def _any_of(words: list[str]) -> str:
+    """Pattern for any of the sorted words, shared beginnings written once.
+
+    A word that begins with another one adds nothing to whether there is a match.
+    """
+    shared = os.path.commonprefix([words[0], words[-1]])
+    if words[0] == shared:
+        return re.escape(shared)
+    branches = groupby(words, key=lambda word: word[len(shared)])
+    tails = [_any_of([word[len(shared) :] for word in group]) for _, group in branches]
+    return re.escape(shared) + "(?:" + "|".join(tails) + ")"
+
+
 def exclude_keywords(
     df: DataFrame,
     rules: DataFrame,
@@ -70,7 +90,7 @@ def exclude_keywords(
     if not listed:
         return df
     if len(listed) <= pattern_keywords:
-        pattern = " (?:" + "|".join(re.escape(k) for k in sorted(listed)) + ") "
+        pattern = " " + _any_of(sorted(f"{keyword} " for keyword in listed))
         return df.where(~F.coalesce(word_form(F.col(text)).rlike(pattern), F.lit(False)))
     return df.join(matching_ids(df, key, text, keywords), key, "left_anti")
 

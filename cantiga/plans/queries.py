@@ -25,7 +25,6 @@ from cantiga.session import materialize, shared_folder, spread
 from cantiga.sources.pages import decode_pages
 from cantiga.sources.store import (
     CatalogueStore,
-    Staged,
     create_backup,
     lookup,
     newest_backup,
@@ -187,9 +186,7 @@ def exclude_listed_phrases(spark: SparkSession, sf: str) -> DataFrame:
     )
     listed = materialize(headings, "headings")
     documents = spread(_table(spark, sf, "documents"), "doc_id")
-    kept = rules.exclude_keywords(
-        documents, listed, "lyrics", "doc_id", "text", pattern_keywords=10
-    )
+    kept = rules.exclude_keywords(documents, listed, "lyrics", "doc_id", "text")
     return kept.select("doc_id", "n_chars")
 
 
@@ -634,7 +631,7 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per table after a backup, after clearing, and after the restore."""
     store = CatalogueStore(spark, _scratch(spark, "store"))
     backup = _scratch(spark, "backups")
-    staged = Staged()
+    staged = store.begin()
     store.stage(staged, "artists", _customer_artists(spark, sf))
     store.stage(staged, "songs", _order_songs(spark, sf))
     store.stage(staged, "lyrics", _document_lyrics(spark, sf))

@@ -20,7 +20,7 @@ from cantiga.operators.skew import lookup_join, small
 from cantiga.plans.crawl import Crawl
 from cantiga.session import materialize
 from cantiga.sources.rules import LyricRules
-from cantiga.sources.store import CatalogueStore, Staged, create_backup
+from cantiga.sources.store import CatalogueStore, create_backup
 from cantiga.sources.textfiles import write_bundle, write_song_files
 
 
@@ -139,9 +139,8 @@ def _run(
     """Stage and publish; None when the batch is known or the crawl lists no artist."""
     if store.has_batch(batch_id) or crawl.artists.isEmpty():
         return None
-    store.init(batch_ts)
-    before = store.tables()
-    staged = Staged()
+    staged = store.begin()
+    before = store.tables(staged.base)
 
     incoming, slugs, unreadable = process_artists(crawl, before["artists"], full)
     if rules is not None:

@@ -65,8 +65,9 @@ def _add_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -
 
 @dataclass
 class Staged:
-    """Folders written for a version that is not published yet."""
+    """Folders written for a version that is not published yet, and the version before."""
 
+    base: Row | None
     tables: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -91,24 +92,23 @@ class CatalogueStore:
         if self.current() is None:
             self.publish(self.empty(), batch_ts, "init")
 
+    def begin(self) -> Staged:
+        return Staged(self.current())
+
     def empty(self) -> Staged:
         """Empty tables, also the way to clear a catalogue."""
-        staged = Staged()
+        staged = self.begin()
         for name, schema in TABLES.items():
             self.stage(staged, name, self.spark.createDataFrame([], schema))
         return staged
 
     def table(self, name: str) -> DataFrame:
-        row = self.current()
-        if row is None:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self._read(name, row["tables"][name])
+        return self.tables()[name]
 
-    def tables(self) -> dict[str, DataFrame]:
-        row = self.current()
-        if row is None:
-            return {name: self.spark.createDataFrame([], s) for name, s in TABLES.items()}
-        return {name: self._read(name, row["tables"][name]) for name in TABLES}
+    def tables(self, version: Row | None = None) -> dict[str, DataFrame]:
+        """The three tables of a version, by default the newest."""
+        row = version or self.current()
+        return {name: self._read(name, row["tables"][name] if row else []) for name in TABLES}
 
     def counts(self) -> DataFrame:
         return table_counts(self.tables())
@@ -117,6 +117,8 @@ class CatalogueStore:
         return not self.manifest().where(F.col("batch_id") == batch_id).isEmpty()
 
     def _read(self, name: str, folders: list[str]) -> DataFrame:
+        if not folders:
+            return self.spark.createDataFrame([], TABLES[name])
         paths = [f"{self.root}/{folder}" for folder in folders]
         return self.spark.read.schema(TABLES[name]).parquet(*paths)
 
@@ -133,22 +135,17 @@ class CatalogueStore:
 
     def stage_added(self, staged: Staged, name: str, df: DataFrame) -> DataFrame:
         """Write rows to add to the table as it is now, and read back those rows."""
-        row = self.current()
-        before = list(row["tables"][name]) if row else []
+        before = list(staged.base["tables"][name]) if staged.base else []
         folder = self._write(name, df)
         staged.tables[name] = before + [folder]
         return self._read(name, [folder])
 
     def publish(self, staged: Staged, batch_ts: datetime, batch_id: str) -> int:
-        """Make the staged folders the newest version; other tables stay as they are."""
-        row = self.current()
-        tables = {name: list(row["tables"][name]) for name in TABLES} if row else {}
+        """Make the staged folders the next version; other tables stay as they are."""
+        base = staged.base
+        tables = {name: list(base["tables"][name]) if base else [] for name in TABLES}
         tables.update(staged.tables)
-        for name in TABLES:
-            if name not in tables:
-                empty = self.spark.createDataFrame([], TABLES[name])
-                tables[name] = [self._write(name, empty)]
-        version = row["version"] + 1 if row else 0
+        version = base["version"] + 1 if base else 0
         token = uuid.uuid4().hex
         now = datetime.now(UTC).replace(tzinfo=None)
         _add_row(
@@ -193,7 +190,7 @@ def restore_backup(
     spark, backup_root = store.spark, backup_root.rstrip("/")
     if backups(spark, backup_root).where(F.col("path") == name).isEmpty():
         raise FileNotFoundError(f"no backup {name} under {backup_root}")
-    staged = Staged()
+    staged = store.begin()
     for table, schema in TABLES.items():
         copy = spark.read.schema(schema).parquet(f"{backup_root}/{name}/{table}")
         store.stage(staged, table, copy)

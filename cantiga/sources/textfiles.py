@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -70,6 +72,8 @@ class SongTextSource(DataSource):
 
 def write_song_files(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One UTF-8 text file per row, in a folder all executors can write to."""
+    # Executors get the writer itself and need no copy of this package.
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     rows.sparkSession.dataSource.register(SongTextSource)
     rows.select("filename", "body").write.format("songtext").mode(mode).save(path)
 
