@@ -33,10 +33,12 @@ def latest_per_key(rows: DataFrame, keys: list[str], seq: str = "seq") -> DataFr
 
 
 def new_artists(crawled: DataFrame, stored: DataFrame) -> DataFrame:
+    """Artists not stored. ``crawled`` has one row per slug."""
     return crawled.join(stored.select("slug"), "slug", "left_anti")
 
 
 def new_songs(crawled: DataFrame, stored: DataFrame) -> DataFrame:
+    """Songs not stored. ``crawled`` has one row per song, so no key is large."""
     keys = ["artist_id", "slug"]
     return crawled.join(stored.select(*keys), keys, "left_anti")
 
@@ -87,7 +89,7 @@ def pages_of(pages: DataFrame, entities: DataFrame, path: str = "path") -> DataF
     """Pages with the entity their path names, the outer slashes not compared."""
     keyed = pages.withColumn("_path", N.strip_slashes(N.url_path(F.col("url"))))
     wanted = entities.withColumn("_path", N.strip_slashes(F.col(path)))
-    return keyed.join(wanted, "_path").drop("_path")
+    return lookup_join(keyed, wanted, "_path", "inner", "page_id").drop("_path")
 
 
 def split_stored_lyrics(songs: DataFrame, lyrics: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -33,7 +33,7 @@ def lang_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     trigram the language never showed scores.
     """
     counts = (
-        spread(labelled, text)
+        spread(labelled.select(text, lang))
         .select(
             F.col(lang).alias("lang"),
             F.explode(trigrams(clean_for_detection(F.col(text)))).alias("gram"),

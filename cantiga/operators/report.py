@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cantiga.functions import names as N
 from cantiga.operators.skew import lookup_join
+from cantiga.session import materialize
 
 # Fixed value: artists named in the release notes.
 TOP_ARTISTS = 5
@@ -54,6 +55,7 @@ def release_names(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> Da
     named = lookup_join(wanted, owners, "artist_id", "inner", "song_id").withColumn(
         "filename", N.export_name(F.col("artist"), F.col("song"))
     )
+    named = materialize(named, "release-names")
     last = named.groupBy("filename").agg(F.max("seq").alias("seq")).select("seq")
     return named.join(last, "seq", "left_semi")
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cantiga.session import materialize
+
 # A lookup side of at most this many rows is broadcast. Lookup rows are an id and a
 # few names of at most 255 characters, so this stays near 100 MB at the very worst.
 BROADCAST_ROWS = 50_000
@@ -23,6 +25,7 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """Keys that hold more than ``share`` of the rows: at most ``1 / share`` of them."""
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    counts = materialize(counts, "key-counts")
     total = counts.agg(F.sum("_n")).scalar()
     return counts.where(F.col("_n") > total * F.lit(share)).select(key)
 

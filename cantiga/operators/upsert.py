@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantiga.operators.delta import latest_per_key, once_per_key
+from cantiga.session import materialize
 
 _DIGEST_CHARS = 4
 
@@ -23,7 +24,7 @@ def assign_ids(new: DataFrame, keys: list[str], stored: DataFrame) -> DataFrame:
     A digest spreads keys evenly whatever they look like, so its first characters make
     65,536 even buckets. Rows are numbered inside their bucket and moved up by the
     count of the buckets before: no step sorts the table in one task, and a rerun gives
-    the same ids. ``keys`` identify a row.
+    the same ids. ``keys`` identify a row. ``new`` is read twice.
     """
     key = F.concat_ws("/", *keys)
     hashed = new.withColumn("_digest", F.md5(key)).withColumn(
@@ -58,7 +59,7 @@ def added_rows(
     batch: DataFrame, stored: DataFrame, keys: list[str], batch_ts: datetime
 ) -> DataFrame:
     """The rows of a batch with one row per key that are not stored, with their ids."""
-    fresh = batch.join(stored.select(*keys), keys, "left_anti")
+    fresh = materialize(batch.join(stored.select(*keys), keys, "left_anti"), "fresh")
     return (
         assign_ids(fresh, keys, stored)
         .withColumn("views", F.coalesce("views", F.lit(0).cast("bigint")))
@@ -69,7 +70,7 @@ def added_rows(
 
 def upsert_artists(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
     """Insert by slug, or set the views only; name and date of a stored artist stay."""
-    batch = once_per_key(incoming, ["slug"])
+    batch = materialize(once_per_key(incoming, ["slug"]), "artist-batch")
     added = added_rows(batch, stored, ["slug"], batch_ts)
     return _set_views(stored, batch, ["slug"]).unionByName(added)
 
@@ -77,7 +78,7 @@ def upsert_artists(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -
 def upsert_songs(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
     """Insert by artist and slug, or set the views only."""
     keys = ["artist_id", "slug"]
-    batch = once_per_key(incoming, keys)
+    batch = materialize(once_per_key(incoming, keys), "song-batch")
     added = added_rows(batch, stored, keys, batch_ts)
     return _set_views(stored, batch, keys).unionByName(added)
 
@@ -94,6 +95,7 @@ def added_lyrics(batch: DataFrame, stored: DataFrame, batch_ts: datetime) -> Dat
     Ids are given to the song ids alone; the text joins them afterwards.
     """
     fresh = batch.select("song_id").join(stored.select("song_id"), "song_id", "left_anti")
+    fresh = materialize(fresh, "fresh")
     ids = assign_ids(fresh, ["song_id"], stored)
     return (
         batch.join(ids, "song_id")
@@ -105,6 +107,7 @@ def added_lyrics(batch: DataFrame, stored: DataFrame, batch_ts: datetime) -> Dat
 def upsert_lyrics(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
     """Insert by song, or replace the content and its date. The last content wins."""
     batch = latest_per_key(incoming, ["song_id"]).select("song_id", "content")
+    batch = materialize(batch, "lyric-batch")
     fresh = batch.withColumnRenamed("content", "_content")
     replaced = (
         stored.join(fresh, "song_id", "left")

@@ -343,7 +343,7 @@ def key_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Songs of the artists in debt."""
     keys = _table(spark, sf, "customer").where("c_acctbal < 0")
     wanted = keys.select(F.col("c_custkey").alias("artist_id"))
-    return lookup(_order_songs(spark, sf), wanted, ["artist_id"]).select("id", "artist_id")
+    return lookup(_order_songs(spark, sf), wanted, "artist_id").select("id", "artist_id")
 
 
 # --- writes -----------------------------------------------------------------------
@@ -355,7 +355,8 @@ def upsert_artists(spark: SparkSession, sf: str) -> DataFrame:
     stored = lookup(
         _customer_artists(spark, sf),
         customers.where("c_acctbal >= 0").select(F.col("c_custkey").alias("id")),
-        ["id"],
+        "id",
+        spread="slug",
     )
     incoming = _table(spark, sf, "orders").select(
         F.concat(F.lit("customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("slug"),
@@ -385,7 +386,7 @@ def upsert_songs(spark: SparkSession, sf: str) -> DataFrame:
     """Finished orders are stored; line items bring all orders, several times over."""
     orders = _table(spark, sf, "orders")
     finished = orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("id"))
-    stored = lookup(_order_songs(spark, sf), finished, ["id"])
+    stored = lookup(_order_songs(spark, sf), finished, "id", spread="slug")
     items = _table(spark, sf, "lineitem").join(
         orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey"
     )

@@ -54,12 +54,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Rows of a few large files over all cores, before work that is heavy per row.
 
     Input that already has a partition per core, as large tables do, stays as it is.
+    ``key`` is a unique column; without one, rows are dealt out in turn.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, key)
+    return df.repartition(cores, key) if key else df.repartition(cores)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cantiga.operators.report import table_counts
+from cantiga.operators.skew import lookup_join
 from cantiga.schemas import TABLES
 
 _MANIFEST = T.StructType(
@@ -197,6 +198,9 @@ def restore_backup(
     return store.publish(staged, batch_ts, f"restore {name}")
 
 
-def lookup(table: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Rows of a table for a table of keys; a missing key gives no row."""
-    return table.join(keys.select(*on), on, "left_semi")
+def lookup(table: DataFrame, keys: DataFrame, key: str, spread: str = "id") -> DataFrame:
+    """Rows of a table for a table of keys; a missing key gives no row.
+
+    ``spread`` is a unique column of the table, for keys with very many rows.
+    """
+    return lookup_join(table, keys.select(key).distinct(), key, "left_semi", spread)
