@@ -31,10 +31,11 @@ def run_arrivals(
     The stream's checkpoint remembers the files. A batch that is played again after a
     failure finds its id in the catalogue's manifest and does nothing.
     """
-    stream_id = checkpoint.rstrip("/").rsplit("/", 1)[-1]
 
     def one_batch(pages: DataFrame, number: int) -> None:
-        batch_id = f"{stream_id}/{number}"
+        # The stream's own id, kept in its checkpoint: a new checkpoint is a new stream.
+        stream = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = f"{stream}/{number}"
         if store.has_batch(batch_id):
             return
         result = run_incremental(store, to_crawl(pages), detector, batch_id, batch_ts, rules)
