@@ -1,11 +1,13 @@
 
+import shutil
+
 import pytest
 from conftest import DAY_1, DAY_2
 
 from cantiga.operators.language import lang_profile
 from cantiga.plans.crawl import crawl_site
 from cantiga.plans.runs import Detector, create_release, run_full, run_incremental
-from cantiga.schemas import RULES, SONGS, SiteLayout
+from cantiga.schemas import LYRICS, PAGES, RULES, SONGS, SiteLayout
 from cantiga.sources.rules import LyricRules
 from cantiga.sources.store import CatalogueStore, backups
 from cantiga.streaming.arrivals import run_arrivals
@@ -74,6 +76,32 @@ SECOND = [
 ]
 
 
+@pytest.fixture(scope="module")
+def crawls(spark):
+    """Crawls of the two states of the site; the page files are written once."""
+
+    def of(items):
+        table = spark.createDataFrame([(i, *item) for i, item in enumerate(items)], PAGES)
+        return crawl_site(table, LAYOUT)
+
+    return {"first": of(FIRST), "second": of(SECOND)}
+
+
+@pytest.fixture(scope="module")
+def first_run(spark, crawls, detector, tmp_path_factory):
+    """A catalogue after a full run over the first state, and what the run gave."""
+    root = tmp_path_factory.mktemp("first") / "store"
+    store = CatalogueStore(spark, str(root))
+    return root, run_full(store, crawls["first"], detector, "one", DAY_1)
+
+
+@pytest.fixture
+def loaded(spark, first_run, tmp_path):
+    """A copy of that catalogue to go on from."""
+    shutil.copytree(first_run[0], tmp_path / "loaded")
+    return CatalogueStore(spark, str(tmp_path / "loaded"))
+
+
 def crawl(pages, items):
     return crawl_site(pages(*items), LAYOUT)
 
@@ -92,8 +120,8 @@ def lyrics_of(store):
     return rows(named, "artist", "slug", "views", "content")
 
 
-def test_full_then_incremental_run(spark, pages, detector, store, tmp_path):
-    first = run_full(store, crawl(pages, FIRST), detector, "one", DAY_1)
+def test_full_then_incremental_run(spark, crawls, detector, first_run, loaded, tmp_path):
+    first, store = first_run[1], loaded
     assert rows(store.table("artists"), "slug", "name", "views") == [
         ("ana", "Ana", 1000), ("bia", "Bia", 2000),
     ]
@@ -105,7 +133,10 @@ def test_full_then_incremental_run(spark, pages, detector, store, tmp_path):
         ("songs", "bia/b1", "views", "many"),
     ]
 
-    second = run_incremental(store, crawl(pages, SECOND), detector, "two", DAY_2)
+    before = store.current()["tables"]["lyrics"]
+    second = run_incremental(store, crawls["second"], detector, "two", DAY_2)
+    # Lyrics are added as a folder; what was there is not written again.
+    assert store.current()["tables"]["lyrics"][: len(before)] == before
     assert rows(store.table("artists"), "slug", "name", "views", "added_date") == [
         ("ana", "Ana", 1500, DAY_1), ("bia", "Bia", 2000, DAY_1), ("eva", "Eva", 10, DAY_2),
     ]
@@ -133,53 +164,39 @@ def test_full_then_incremental_run(spark, pages, detector, store, tmp_path):
     assert backups(spark, str(tmp_path / "out" / "backups")).count() == 1
 
 
-def test_lyrics_folders_are_added_not_rewritten(pages, detector, store):
-    run_full(store, crawl(pages, FIRST), detector, "one", DAY_1)
-    before = store.current()["tables"]["lyrics"]
-    run_incremental(store, crawl(pages, SECOND), detector, "two", DAY_2)
-    assert store.current()["tables"]["lyrics"][: len(before)] == before
-
-
-def test_same_crawl_again_changes_nothing(pages, detector, store, tmp_path):
-    run_full(store, crawl(pages, FIRST), detector, "one", DAY_1)
-    before = {n: rows(df, "*") for n, df in store.tables().items()}
-    again = run_incremental(store, crawl(pages, FIRST), detector, "two", DAY_2)
-    assert {n: rows(df, "*") for n, df in store.tables().items()} == before
-    assert create_release(store, again.lyrics, str(tmp_path / "out"), DAY_2) is None
+def test_same_crawl_again_changes_nothing(crawls, detector, loaded, tmp_path):
+    before = {n: rows(df, "*") for n, df in loaded.tables().items()}
+    again = run_incremental(loaded, crawls["first"], detector, "two", DAY_2)
+    assert {n: rows(df, "*") for n, df in loaded.tables().items()} == before
+    assert create_release(loaded, again.lyrics, str(tmp_path / "out"), DAY_2) is None
     assert not (tmp_path / "out").exists()
 
 
-def test_known_batch_and_empty_crawl_do_nothing(pages, detector, store):
-    assert run_full(store, crawl(pages, FIRST[1:]), detector, "none", DAY_1) is None
-    assert store.current() is None
-    run_full(store, crawl(pages, FIRST), detector, "one", DAY_1)
-    version = store.current()["version"]
-    assert run_incremental(store, crawl(pages, SECOND), detector, "one", DAY_2) is None
-    assert store.current()["version"] == version
+def test_known_batch_and_empty_crawl_do_nothing(pages, crawls, detector, loaded):
+    version = loaded.current()["version"]
+    assert run_full(loaded, crawl(pages, FIRST[1:]), detector, "none", DAY_1) is None
+    assert run_incremental(loaded, crawls["second"], detector, "one", DAY_2) is None
+    assert loaded.current()["version"] == version
 
 
-def test_full_run_leaves_unlisted_artists_alone(pages, detector, store):
-    run_full(store, crawl(pages, FIRST), detector, "one", DAY_1)
-    run_full(store, crawl(pages, SECOND), detector, "two", DAY_2)
-    assert [r[:2] for r in lyrics_of(store)] == [("ana", "s1"), ("bia", "b2"), ("eva", "e1")]
+def test_full_run_leaves_unlisted_artists_alone(crawls, detector, loaded):
+    run_full(loaded, crawls["second"], detector, "two", DAY_2)
+    assert [r[:2] for r in lyrics_of(loaded)] == [("ana", "s1"), ("bia", "b2"), ("eva", "e1")]
 
 
-def test_song_without_lyrics_is_retried_on_request(spark, pages, detector, store):
-    def lonely_song():
-        staged = store.begin()
-        stored = spark.createDataFrame([(9, 1, "S1", "s1", 5, DAY_1)], SONGS)
-        store.stage(staged, "songs", stored)
-        store.stage(staged, "lyrics", store.table("lyrics").limit(0))
-        store.publish(staged, DAY_1, "lonely")
-
-    run_full(store, crawl(pages, FIRST[:2]), detector, "one", DAY_1)
-    lonely_song()
-    run_incremental(store, crawl(pages, FIRST), detector, "two", DAY_2)
-    assert ("ana", "s1", 5, PT) not in lyrics_of(store)
+def test_song_without_lyrics_is_retried_on_request(spark, crawls, detector, loaded):
+    staged = loaded.begin()
+    ana = loaded.table("artists").where("slug = 'ana'").first()["id"]
+    song = spark.createDataFrame([(9, ana, "S1", "s1", 5, DAY_1)], SONGS)
+    loaded.stage(staged, "songs", song)
+    loaded.stage(staged, "lyrics", spark.createDataFrame([], LYRICS))
+    loaded.publish(staged, DAY_1, "lonely")
+    run_incremental(loaded, crawls["first"], detector, "two", DAY_2)
+    assert [r[:2] for r in lyrics_of(loaded)] == [("bia", "b2")]
     result = run_incremental(
-        store, crawl(pages, FIRST), detector, "three", DAY_2, retry_missing_lyrics=True
+        loaded, crawls["first"], detector, "three", DAY_2, retry_missing_lyrics=True
     )
-    assert ("ana", "s1", 5, PT) in lyrics_of(store)
+    assert ("ana", "s1", 5, PT) in lyrics_of(loaded)
     assert rows(result.lyrics, "song_id") == [(9,)]
 
 
@@ -204,24 +221,24 @@ def test_rules_drop_artists_titles_and_texts(spark, pages, detector, store):
 def test_arriving_files_are_taken_once(spark, pages, detector, store, tmp_path):
     arrivals, seen = str(tmp_path / "pages"), []
 
-    def run(checkpoint="stream"):
+    def run():
         run_arrivals(
-            spark, arrivals, str(tmp_path / checkpoint), store,
+            spark, arrivals, str(tmp_path / "stream"), store,
             lambda df: crawl_site(df, LAYOUT), detector, DAY_1, on_result=seen.append,
         )
 
     pages(*FIRST).coalesce(1).write.parquet(arrivals)
     run()
     assert len(seen) == 1 and len(lyrics_of(store)) == 2
-    run()
-    assert len(seen) == 1
     pages(*SECOND).coalesce(1).write.mode("append").parquet(arrivals)
     run()
     assert len(seen) == 2 and len(lyrics_of(store)) == 5
+    batches = [r["batch_id"] for r in store.manifest().orderBy("version").collect()]
+    stream = batches[0].split("/")[0]
+    assert len(stream) == 36 and batches == [f"{stream}/0", f"{stream}/1"]
 
     # The stream forgets its last batch and plays it again.
     for name in ("1", ".1.crc"):
         (tmp_path / "stream" / "commits" / name).unlink(missing_ok=True)
-    version = store.current()["version"]
     run()
-    assert len(seen) == 2 and store.current()["version"] == version
+    assert len(seen) == 2 and store.manifest().count() == 2
