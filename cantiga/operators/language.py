@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantiga.functions.text import clean_for_detection
-from cantiga.operators.skew import salted_join, small
-from cantiga.session import materialize, spread
+from cantiga.operators.skew import lookup_join, salted_join, small
+from cantiga.session import materialize
 
 # A profile row holds one trigram and one number per language.
 PROFILE_BROADCAST_ROWS = 500_000
@@ -33,8 +33,7 @@ def lang_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     trigram the language never showed scores.
     """
     counts = (
-        spread(labelled.select(text, lang))
-        .select(
+        labelled.select(
             F.col(lang).alias("lang"),
             F.explode(trigrams(clean_for_detection(F.col(text)))).alias("gram"),
         )
@@ -43,11 +42,10 @@ def lang_profile(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     )
     counts = materialize(counts, "gram-counts")
     vocabulary = counts.agg(F.count_distinct("gram").alias("v"))
-    # One row per language.
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     size = F.col("total") + vocabulary.scalar()
     return (
-        counts.join(F.broadcast(totals), "lang")
+        lookup_join(counts, totals, "lang", "inner", "gram")
         .withColumn("logp", _millionths((F.col("n") + 1) / size))
         .withColumn("default_logp", _millionths(F.lit(1) / size))
         .select("lang", "gram", "n", "logp", "default_logp")
@@ -77,7 +75,7 @@ def lang_scores(
     wide = profile.where(F.col("lang").isin(langs)).groupBy("gram").agg(*gains)
     wide = materialize(wide, "profile")
     defaults = profile.groupBy("lang").agg(F.max("default_logp").alias("d"))
-    grams = spread(texts, key).select(
+    grams = texts.select(
         F.col(key),
         F.explode(trigrams(clean_for_detection(F.col(text)))).alias("gram"),
     )

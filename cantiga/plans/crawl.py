@@ -25,7 +25,7 @@ from cantiga.operators.extract import (
     with_lyric_text,
 )
 from cantiga.schemas import Selector, SiteLayout
-from cantiga.session import materialize, spread
+from cantiga.session import materialize
 
 _PER_PAGE = 1 << 20
 
@@ -49,7 +49,7 @@ def crawl_site(pages: DataFrame, layout: SiteLayout) -> Crawl:
     A page fetched twice counts as its last copy; the copies to skip are few, so they
     are listed and the rest of the text stays where it is.
     """
-    parsed = materialize(extract_site(spread(pages, "page_id"), layout), "site", partition_by=["kind"])
+    parsed = materialize(extract_site(pages, layout), "site", partition_by=["kind"])
     copies = parsed.select("page_id", "kind", "path")
     last = copies.groupBy("kind", "path").agg(F.max("page_id").alias("page_id"))
     stale = materialize(
@@ -117,7 +117,7 @@ def crawl_articles(pages: DataFrame) -> Crawl:
 
     An artist has the views of their most viewed page.
     """
-    found = extract_articles(spread(pages, "page_id")).drop("url")
+    found = extract_articles(pages).drop("url")
     found = materialize(found, "articles")
     per_host = found.groupBy(F.col("host").alias("slug")).agg(
         F.max("views").alias("views"), F.min("page_id").alias("seq")

@@ -22,13 +22,12 @@ from cantiga.plans.crawl import Crawl, crawl_articles, crawl_site, extract_artic
 from cantiga.plans.runs import Detector, RunResult, create_release, run_full, run_incremental
 from cantiga.schemas import ARTISTS, LYRICS, RULES, SONGS, Selector, SiteLayout
 from cantiga.session import materialize, shared_folder, spread
-from cantiga.sources.pages import decode_pages
+from cantiga.sources.pages import decode_pages, read_pages
 from cantiga.sources.store import (
     CatalogueStore,
     create_backup,
     lookup,
-    newest_backup,
-    restore_backup,
+    restore_newest,
 )
 from cantiga.sources.textfiles import read_bundle, write_bundle, write_song_files
 from cantiga.streaming.arrivals import run_arrivals
@@ -47,7 +46,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(_table(spark, sf, "pages"), "page_id")
+    return read_pages(spark, f"{sf}/pages.parquet")
+
+
+def _documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(_table(spark, sf, "documents"), "doc_id")
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
@@ -144,7 +147,7 @@ def decoded_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(_table(spark, sf, "documents"), "doc_id")
+    documents = _documents(spark, sf)
     return documents.select("doc_id", clean_for_detection(F.col("text")).alias("cleaned"))
 
 
@@ -174,7 +177,7 @@ def _rules(spark: SparkSession) -> DataFrame:
 
 
 def exclude_keywords(spark: SparkSession, sf: str) -> DataFrame:
-    documents = spread(_table(spark, sf, "documents"), "doc_id")
+    documents = _documents(spark, sf)
     kept = rules.exclude_keywords(documents, _rules(spark), "lyrics", "doc_id", "text")
     return kept.select("doc_id", "n_chars")
 
@@ -185,7 +188,7 @@ def exclude_listed_phrases(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("lyrics").alias("scope"), F.col("name").alias("keyword")
     )
     listed = materialize(headings, "headings")
-    documents = spread(_table(spark, sf, "documents"), "doc_id")
+    documents = _documents(spark, sf)
     kept = rules.exclude_keywords(documents, listed, "lyrics", "doc_id", "text")
     return kept.select("doc_id", "n_chars")
 
@@ -199,15 +202,15 @@ def length_bounds(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _profile(spark: SparkSession, sf: str) -> DataFrame:
-    return materialize(language.lang_profile(_table(spark, sf, "documents")), "profile")
+    return materialize(language.lang_profile(_documents(spark, sf)), "profile")
 
 
 def lang_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return language.lang_profile(_table(spark, sf, "documents"))
+    return language.lang_profile(_documents(spark, sf))
 
 
 def lang_detect(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _table(spark, sf, "documents")
+    documents = _documents(spark, sf)
     return language.detect_language(documents, _profile(spark, sf), LANGS, "doc_id", "text")
 
 
@@ -225,7 +228,7 @@ def lang_confusion(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lang_filter(spark: SparkSession, sf: str) -> DataFrame:
-    documents = _table(spark, sf, "documents")
+    documents = _documents(spark, sf)
     kept = language.filter_language(
         documents, _profile(spark, sf), LANGS, TARGET, "doc_id", "text"
     )
@@ -555,13 +558,13 @@ def _catalogue(store: CatalogueStore) -> DataFrame:
 
 def full_run(spark: SparkSession, sf: str) -> DataFrame:
     store = CatalogueStore(spark, _scratch(spark, "store"))
-    crawl = crawl_articles(_table(spark, sf, "pages"))
+    crawl = crawl_articles(_pages(spark, sf))
     run_full(store, crawl, _detector(spark, sf), "first", FIRST)
     return _catalogue(store)
 
 
 def _two_runs(spark: SparkSession, sf: str) -> tuple[CatalogueStore, RunResult]:
-    pages, detector = _table(spark, sf, "pages"), _detector(spark, sf)
+    pages, detector = _pages(spark, sf), _detector(spark, sf)
     store = CatalogueStore(spark, _scratch(spark, "store"))
     run_full(store, crawl_articles(pages.where(_is_stored())), detector, "first", FIRST)
     return store, run_incremental(store, crawl_articles(pages), detector, "second", SECOND)
@@ -578,7 +581,7 @@ def run_report(spark: SparkSession, sf: str) -> DataFrame:
 def run_release(spark: SparkSession, sf: str) -> DataFrame:
     """The notes of the release that follows a full run."""
     store = CatalogueStore(spark, _scratch(spark, "store"))
-    crawl = crawl_articles(_table(spark, sf, "pages"))
+    crawl = crawl_articles(_pages(spark, sf))
     result = run_full(store, crawl, _detector(spark, sf), "first", FIRST)
     return create_release(store, result.lyrics, _scratch(spark, "release"), FIRST)
 
@@ -641,14 +644,14 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     before = store.counts().withColumnRenamed("n_rows", "stored")
     store.publish(store.empty(), FIRST, "clear")
     cleared = store.counts().withColumnRenamed("n_rows", "cleared")
-    restore_backup(store, backup, newest_backup(spark, backup), SECOND)
+    restore_newest(store, backup, SECOND)
     after = store.counts().withColumnRenamed("n_rows", "restored")
     return before.join(cleared, "table_name").join(after, "table_name")
 
 
 def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Pages arrive as two loads of files, each taken by an incremental run."""
-    pages, arrivals = _table(spark, sf, "pages"), _scratch(spark, "arrivals")
+    pages, arrivals = _pages(spark, sf), _scratch(spark, "arrivals")
     store = CatalogueStore(spark, _scratch(spark, "store"))
     detector, checkpoint = _detector(spark, sf), _scratch(spark, "stream")
     for part, when in ((pages.where(_is_stored()), FIRST), (pages.where(~_is_stored()), SECOND)):

@@ -55,10 +55,11 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Rows of a few large files over all cores, before work that is heavy per row.
+    """A scan of a few small files over all cores, before work that is heavy per row.
 
-    Input that already has a partition per core, as large tables do, stays as it is.
-    ``key`` is a unique column; without one, rows are dealt out in turn.
+    A scan that has a partition per core already, as large tables have, stays as it is.
+    Only for tables as read: counting the partitions of a join would run it. ``key`` is
+    a unique column; without one, rows are dealt out in turn.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from cantiga.functions.text import utf8_text
 from cantiga.schemas import PAGES
+from cantiga.session import spread
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Pages with text bodies, from Parquet."""
-    return spark.read.schema(PAGES).parquet(path)
+    return spread(spark.read.schema(PAGES).parquet(path), "page_id")
 
 
 def decode_pages(pages: DataFrame, body: str = "body") -> DataFrame:

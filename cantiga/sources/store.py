@@ -198,6 +198,12 @@ def restore_backup(
     return store.publish(staged, batch_ts, f"restore {name}")
 
 
+def restore_newest(store: CatalogueStore, backup_root: str, batch_ts: datetime) -> int | None:
+    """Restore the newest backup, as before an incremental run; None when there is none."""
+    name = newest_backup(store.spark, backup_root)
+    return None if name is None else restore_backup(store, backup_root, name, batch_ts)
+
+
 def lookup(table: DataFrame, keys: DataFrame, key: str, spread: str = "id") -> DataFrame:
     """Rows of a table for a table of keys; a missing key gives no row.
 

@@ -13,6 +13,7 @@ from cantiga.sources.store import (
     create_backup,
     newest_backup,
     restore_backup,
+    restore_newest,
 )
 from cantiga.sources.textfiles import read_bundle, write_bundle, write_song_files
 
@@ -109,11 +110,13 @@ def test_backup_clear_restore(spark, store, tables, tmp_path):
     assert newest_backup(spark, root) == second and first.startswith("v=20240301-1-")
     restore_backup(store, root, first, DAY_2)
     assert contents(store) == before
+    restore_newest(store, root, DAY_2)
+    assert counts(store) == dict.fromkeys(TABLES, 0)
     assert backups(spark, root).count() == 2
 
 
 def test_missing_backup_is_an_error(spark, store, tmp_path):
-    assert newest_backup(spark, str(tmp_path / "none")) is None
+    assert restore_newest(store, str(tmp_path / "none"), DAY_1) is None
     with pytest.raises(FileNotFoundError):
         restore_backup(store, str(tmp_path / "none"), "v=20240301-1-x", DAY_1)
 
