@@ -36,6 +36,7 @@ HEADLINES = [
     "artist_stats",
     "incremental_run",
 ]
+# A run writes a whole catalogue twice; it is timed once, when all else is warm.
 RUNS = {"incremental_run": 1}
 
 
@@ -61,7 +62,8 @@ def main() -> None:
 
     queries = {}
     for name in HEADLINES:
-        once(name)
+        if name not in RUNS:
+            once(name)
         queries[name] = round(statistics.median(once(name) for _ in range(RUNS.get(name, 3))), 3)
     spark.stop()
     print(

@@ -8,6 +8,7 @@ the length of the page.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,11 @@ _TO_END = 2_000_000_000
 _HIDDEN = r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*)>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value worked out once, also where it is used twice."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_hidden(html: Column) -> Column:
     return F.regexp_replace(html, _HIDDEN, "<!>")
 
@@ -58,14 +64,18 @@ def attribute(attrs: Column, name: str) -> Column:
     raw = F.regexp_extract(
         attrs, rf"""(?is)(?:^|[\s"']){name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1
     )
-    bare = F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2")
-    return F.when(raw != "", unescape(bare))
+    return let(
+        raw,
+        lambda quoted: F.when(
+            quoted != "",
+            let(F.regexp_replace(quoted, r"""(?s)^(["'])(.*)\1$""", "$2"), unescape),
+        ),
+    )
 
 
 def plain_text(html: Column) -> Column:
     """Text with the tags removed and nothing put in their place."""
-    bare = F.array(F.regexp_replace(html, _ANY_TAG, ""))
-    return F.get(F.transform(bare, unescape), F.lit(0))
+    return let(F.regexp_replace(html, _ANY_TAG, ""), unescape)
 
 
 def text_lines(html: Column) -> Column:

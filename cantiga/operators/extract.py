@@ -38,17 +38,31 @@ def song_array(html: Column, row: Selector, link: Selector) -> Column:
 
     def first_link(segment: Column, pos: Column) -> Column:
         body = H.before_close(segment, row.tag)
-        opened = F.regexp_extract(body, f"(?s)({tag})", 1)
-        inner = H.before_close(F.get(F.split(body, tag, 2), F.lit(1)), link.tag)
-        title = ws_trim(H.attribute(opened, "title"))
         return F.struct(
             pos.alias("pos"),
-            F.coalesce(F.nullif(title, F.lit("")), ws_trim(H.plain_text(inner))).alias("name"),
-            N.last_segment(H.attribute(opened, "href")).alias("slug"),
+            F.regexp_extract(body, f"(?s)({tag})", 1).alias("opened"),
+            F.get(F.split(body, tag, 2), F.lit(1)).alias("rest"),
+        )
+
+    def parts(found: Column) -> Column:
+        return F.struct(
+            found["pos"].alias("pos"),
+            ws_trim(H.attribute(found["opened"], "title")).alias("title"),
+            ws_trim(H.plain_text(H.before_close(found["rest"], link.tag))).alias("text"),
+            N.last_segment(H.attribute(found["opened"], "href")).alias("slug"),
+        )
+
+    def song(part: Column) -> Column:
+        title = F.nullif(part["title"], F.lit(""))
+        return F.struct(
+            part["pos"].alias("pos"),
+            F.coalesce(title, part["text"]).alias("name"),
+            part["slug"].alias("slug"),
         )
 
     rows = F.transform(H.segments(html, H.open_tag(row)), first_link)
-    return F.filter(rows, lambda song: song["slug"].isNotNull())
+    songs = F.transform(F.transform(rows, parts), song)
+    return F.filter(songs, lambda found: found["slug"].isNotNull())
 
 
 def explode_rows(df: DataFrame, array: str, keep: list[str]) -> DataFrame:
