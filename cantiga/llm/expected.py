@@ -29,5 +29,17 @@ component AS (SELECT a, min(b) AS least FROM reach GROUP BY a),
 links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least AS component_id, e.vec_id = least AS kept
 FROM embeddings e JOIN component c ON e.vec_id = c.a LEFT JOIN links l ON e.vec_id = l.a
+""",
+    "op10_exact_top_k": f"""
+WITH {_VECTORS},
+whole AS (SELECT vec_id, [floor(64 * x) FOR x IN v] AS v FROM good WHERE vec_id IS NOT NULL),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored
+)
+SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <= 20
 """,
 }

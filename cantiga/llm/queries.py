@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cantiga.llm import simhash, vectors
+from cantiga.llm import simhash, topk, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_texts(_table(spark, sf_dir, "documents"))
 
 
+def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every twentieth embedding."""
+    return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op10_exact_top_k)
 }
