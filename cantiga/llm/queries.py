@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import simhash, topk, vectors
+from cantiga.llm import mixing, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +24,31 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_texts(_table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document go into a mix of the sources."""
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+URL_RULES = [
+    urls.UrlRule("allow", "com", "/"),
+    urls.UrlRule("block", "example.com", "/en/"),
+    urls.UrlRule("allow", "www.example.com", "/en/"),
+    urls.UrlRule("block", "net", "/es/"),
+    urls.UrlRule("block", "net", "/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allow or block every page by its URL."""
+    return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products of every twentieth embedding."""
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op10_exact_top_k)
 }
