@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import mixing, simhash, topk, urls, vectors
+from cantiga.llm import lines, mixing, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,11 +44,17 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated runs of lines."""
+    cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_deleted")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products of every twentieth embedding."""
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op7_line_dedup, op10_exact_top_k)
 }
