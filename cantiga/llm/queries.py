@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import lines, mixing, simhash, topk, urls, vectors
+from cantiga.llm import lines, mixing, packing, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +44,18 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def packing_tokenizer() -> str:
+    """The tokenizer file that the packing query counts with."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), packing_tokenizer())
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without later copies of repeated runs of lines."""
     cleaned = lines.dedup_lines(_table(spark, sf_dir, "documents"))
@@ -56,5 +68,5 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op7_line_dedup, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op10_exact_top_k)
 }
