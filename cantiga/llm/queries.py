@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import lines, mixing, packing, simhash, topk, urls, vectors
+from cantiga.llm import lines, mixing, packing, quality, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,21 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_deleted")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from four fifths of the labels."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = quality.held_out(F.col("id"), 5, 0)
+    ensemble = quality.learn(documents, _table(spark, sf_dir, "labels"), ~held)
+    scored = quality.score_quality(documents, ensemble)
+    out = quality.held_out(F.col("doc_id"), 5, 0).alias("held_out")
+    return scored.select("doc_id", out, "score", "predicted")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products of every twentieth embedding."""
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op10_exact_top_k)
 }
