@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import lines, mixing, packing, quality, simhash, topk, urls, vectors
+from cantiga.llm import ctw, lines, mixing, packing, quality, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,11 +72,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out, "score", "predicted")
 
 
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Context-tree and add-one scores of every document, learned from six sevenths."""
+    scored = ctw.score_texts(_table(spark, sf_dir, "documents"), quality.held_out(F.col("doc_id"), 7, 2))
+    return scored.drop("bits_per_byte")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest integer inner products of every twentieth embedding."""
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op9_context_tree, op10_exact_top_k)
 }
