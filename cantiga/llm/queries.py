@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import ctw, lines, mixing, packing, quality, simhash, topk, urls, vectors
+from cantiga.llm import ctw, lines, mixing, packing, quality, secrets, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: base patterns, and what a trained network adds."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(documents, secrets.learn(documents))
+
+
 URL_RULES = [
     urls.UrlRule("allow", "com", "/"),
     urls.UrlRule("block", "example.com", "/en/"),
@@ -84,5 +90,5 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op9_context_tree, op10_exact_top_k)
+    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op4_secrets, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op9_context_tree, op10_exact_top_k)
 }
