@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 20_000
-TREES, DEPTH, BINS, SHRINK = 60, 3, 32, 0.3
+TREES, DEPTH, BINS, SHRINK = 20, 3, 32, 0.3
 SEED = 5
+# Loss (nats a row) that fewer rules may cost.
+SLACK = 0.001
 
 STATISTICS = (
     "words", "word_length", "distinct_words", "repeated_words", "distinct_pairs", "upper",
@@ -132,6 +134,14 @@ def _grow(binned: np.ndarray, gradient: np.ndarray, hessian: np.ndarray, rng: np
     return paths
 
 
+def _tightest(path: tuple) -> tuple:
+    """The path with one condition a feature and side."""
+    limits: dict[tuple, int] = {}
+    for f, above, at in path:
+        limits[f, above] = (max if above else min)(at, limits.get((f, above), at))
+    return tuple(sorted((f, above, at) for (f, above), at in limits.items()))
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
@@ -143,11 +153,11 @@ def _lasso(met: np.ndarray, label: np.ndarray, penalty: float, rounds: int = 250
     for _ in range(20):  # the largest curvature, by power iteration
         along /= np.linalg.norm(along)
         out = met @ along[:-1] + along[-1]
-        along = np.append(met.T @ out, out.sum())
+        along = np.append(met.T @ out, out.sum()).astype(met.dtype)
     step = 4 * rows / (1.05 * np.linalg.norm(along))
     weight, ahead, t = np.zeros(count + 1), np.zeros(count + 1), 1.0
     for _ in range(rounds):
-        error = _sigmoid(met @ ahead[:-1] + ahead[-1]) - label
+        error = (_sigmoid(met @ ahead[:-1].astype(met.dtype) + ahead[-1]) - label).astype(met.dtype)
         new = ahead - step * np.append(met.T @ error, error.sum()) / rows
         new[:-1] = np.sign(new[:-1]) * np.maximum(np.abs(new[:-1]) - step * penalty, 0)
         faster = (1 + np.sqrt(1 + 4 * t * t)) / 2
@@ -155,11 +165,12 @@ def _lasso(met: np.ndarray, label: np.ndarray, penalty: float, rounds: int = 250
     return float(weight[-1]), weight[:-1]
 
 
-def fit(values: np.ndarray, label: np.ndarray, penalties: tuple[float, ...] = (0.003, 0.001, 0.0003)) -> RuleEnsemble:
+def fit(values: np.ndarray, label: np.ndarray, penalties: tuple[float, ...] = (0.02, 0.01, 0.005, 0.002, 0.001)) -> RuleEnsemble:
     """Learn an ensemble from statistics (rows x ``STATISTICS``) and labels 0 or 1.
 
-    The penalty is the one with the smallest loss on a fifth of the rows. Without rows, or
-    with one class only, the ensemble has no rule and says how common the class is.
+    The penalty is the largest whose loss on a fifth of the rows is within ``SLACK`` of the
+    smallest, for few rules. Without rows, or with one class only, the ensemble has no rule
+    and says how common the class is.
     """
     rows = len(label)
     share = (label.sum() + 0.5) / (rows + 1)
@@ -175,7 +186,7 @@ def fit(values: np.ndarray, label: np.ndarray, penalties: tuple[float, ...] = (0
         paths = _grow(binned, label - p, p * (1 - p), rng)
         longest = max((len(c) for c, _, _ in paths), default=0)
         for path, value, chosen in paths:
-            conditions.setdefault(tuple(sorted(path)), None)
+            conditions.setdefault(_tightest(path), None)
             if len(path) == longest:
                 margin[chosen] += SHRINK * value
     paths = list(conditions)
@@ -194,11 +205,12 @@ def fit(values: np.ndarray, label: np.ndarray, penalties: tuple[float, ...] = (0
         base, weight = _lasso(met[~check], label[~check], penalty)
         p = np.clip(_sigmoid(met[check] @ weight + base), 1e-9, 1 - 1e-9)
         losses.append(-(label[check] * np.log(p) + (1 - label[check]) * np.log(1 - p)).mean())
-    base, weight = _lasso(met, label, penalties[int(np.argmin(losses))])
+    chosen = next(p for p, loss in zip(penalties, losses, strict=True) if loss <= min(losses) + SLACK)
+    base, weight = _lasso(met, label, chosen)
     rules = [
         Rule(float(w), tuple((STATISTICS[f], above, float(edges[f][at])) for f, above, at in path))
         for w, path in zip(weight, paths, strict=True)
-        if abs(w) > 1e-6
+        if abs(w) > 1e-3
     ]
     return RuleEnsemble(base, tuple(rules))
 
