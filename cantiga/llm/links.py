@@ -123,6 +123,44 @@ def linked(groups: DataFrame, prepare: Callable[[pd.DataFrame], Verify]) -> Data
     return groups.groupBy("group").applyInPandas(compare, schema)
 
 
+def spanning(groups: DataFrame, prepare: Callable[[pd.DataFrame], Callable]) -> DataFrame:
+    """``a, b``: a spanning forest of each group's linked pairs, closest pairs first.
+
+    As ``linked``, but the function of ``prepare`` returns the distance of each pair, below
+    zero where it does not link. A group gives fewer rows than it has members, and any two
+    members that link are joined by pairs at most as far apart as they are.
+    """
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["bucket", "id"], ignore_index=True)
+        ids, node = np.unique(rows["id"].to_numpy(), return_inverse=True)
+        distance = prepare(rows)
+        wide = bool(rows["wide"].iloc[0])
+        pairs = _cross(rows["chunk"].to_numpy()) if wide else _pairs(rows["bucket"].to_numpy())
+        found = [np.empty((0, 3), dtype=np.int64)]
+        for left, right in pairs:
+            far = distance(left, right)
+            keep = far >= 0
+            found.append(np.stack([far[keep], node[left[keep]], node[right[keep]]], axis=1))
+        root, edges = list(range(len(ids))), []
+
+        def top(x: int) -> int:
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        for _, a, b in np.unique(np.concatenate(found), axis=0).tolist():
+            x, y = top(a), top(b)
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                edges.append((a, b))
+        chosen = np.array(edges, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": ids[chosen[:, 0]], "b": ids[chosen[:, 1]]})
+
+    return groups.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of ``edges(a, b)``.
 

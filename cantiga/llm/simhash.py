@@ -7,10 +7,18 @@ at distance 1 or less from both: every fingerprint is entered at its own point a
 next to it, fingerprints that meet at a point are candidates, and their bits are compared.
 
 Only distinct fingerprints are compared, so equal texts cost one entry.
+
+``near_duplicate_texts`` links fingerprints at a Hamming distance of 2 or less.
+``similar_texts`` links texts by the Jaccard similarity of their word shingles. There a pair
+at the threshold differs in an eighth of its bits, too many for one grid, so a fingerprint of
+256 bits is entered by several random choices of bits, of which a near pair has one that
+differs in 2 bits or less; the whole fingerprint, and then the shingles, decide.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -19,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cantiga.llm.links import candidate_groups, components, linked
+from cantiga.llm.links import candidate_groups, components, linked, spanning
 from cantiga.session import materialize
 
 SEGMENTS = 16
@@ -131,3 +139,142 @@ def near_duplicate_texts(
     return rows.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+# Bits of the long fingerprint, the share in which pairs at a similarity of 0.8 differ, and
+# the share beyond which a pair is not compared further (three deviations more).
+LONG = 256
+NEAR_SHARE, FAR_SHARE = 0.125, 0.19
+MISS = 0.02
+PAIRS_PER_ROW = 128
+SEED = 3
+
+
+def long_fingerprint(text: bytes | None, shingle: int = SHINGLE) -> bytes:
+    """The SimHash of the distinct word shingles in ``LONG`` bits; zeros without a word."""
+    words = (text or b"").lower().split()
+    if not words:
+        return bytes(LONG // 8)
+    if len(words) < shingle:
+        words, shingle = [b" ".join(words)], 1
+    grams = set(zip(*(words[i:] for i in range(shingle)), strict=False))
+    ones = np.zeros(LONG, dtype=np.int64)
+    hashed, joined = xxhash.xxh3_128_digest, [b" ".join(g) for g in grams]
+    for at in range(0, len(joined), _AT_ONCE):
+        piece = joined[at : at + _AT_ONCE]
+        digests = b"".join([x for g in piece for x in (hashed(g, 1), hashed(g, 2))])
+        bits = np.unpackbits(np.frombuffer(digests, dtype=np.uint8).reshape(-1, LONG // 8), axis=1)
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(joined)).tobytes()
+
+
+def table_plan(rows: int, miss: float = MISS) -> tuple[int, int]:
+    """Bits of a choice, in segments of two, and the number of choices.
+
+    The bits keep the unrelated fingerprints whose grid points meet to ``PAIRS_PER_ROW`` a
+    row; the choices keep the chance that a near pair meets nowhere to ``miss``.
+    """
+    bits = 16
+    while bits < 56:
+        steps = bits // 2
+        meet = 0.375**steps * (1 + steps * 4 / 3 + steps * (steps - 1) / 2 * 16 / 9 + steps / 3)
+        if rows * meet <= PAIRS_PER_ROW:
+            break
+        bits += 2
+    near = sum(math.comb(bits, d) * NEAR_SHARE**d * (1 - NEAR_SHARE) ** (bits - d) for d in range(3))
+    return bits, math.ceil(math.log(miss) / math.log(1 - near))
+
+
+def _choices(bits: int, tables: int) -> list[np.ndarray]:
+    rng = np.random.default_rng(SEED)
+    return [np.sort(rng.choice(LONG, size=bits, replace=False)) for _ in range(tables)]
+
+
+def jaccard(left: bytes | None, right: bytes | None, shingle: int) -> float:
+    """Similarity of the sets of word shingles; texts without a word are equal."""
+    sets = []
+    for text in (left, right):
+        words = (text or b"").lower().split()
+        size = min(shingle, len(words))
+        sets.append(set(zip(*(words[i:] for i in range(size)), strict=False)))
+    whole = len(sets[0] | sets[1])
+    return len(sets[0] & sets[1]) / whole if whole else 1.0
+
+
+def similar_texts(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
+) -> DataFrame:
+    """One row per document: ``doc_id, component_id``, linked at ``similarity`` or more.
+
+    Similarity is the Jaccard index of the sets of ``shingle``-word shingles; every link
+    is checked exactly, and a link at the threshold is found with probability 1 - ``MISS``.
+    Texts with equal long fingerprints are one. Nulls, empty texts, repeated rows and null
+    ids are handled as by ``near_duplicate_texts``. Other columns are not read.
+    """
+    text = F.col(text_col)
+    rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text, text.isNull()).alias("mark"), text.alias("text"))
+
+    def read(batches):
+        for batch in batches:
+            fps = pa.array([long_fingerprint(t) for t in batch.column(2).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], ["doc_id", "mark", "fp"])
+
+    read_rows = rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(read, "doc_id bigint, mark bigint, fp binary")
+    read_rows = materialize(read_rows.withColumn("id", F.xxhash64("fp")), "long-fingerprints")
+    classes = read_rows.groupBy("id").agg(F.min("doc_id").alias("first"), F.min("mark").alias("mark"), F.any_value("fp").alias("fp"))
+    classes = materialize(classes, "distinct-long-fingerprints")
+    bits, tables = table_plan(classes.count())
+
+    def enter(batches):
+        chosen = _choices(bits, tables)
+        units = np.int64(1) << (2 * np.arange(bits // 2)).astype(np.int64)
+        for part in batches:
+            whole = np.unpackbits(np.frombuffer(b"".join(part["fp"]), dtype=np.uint8).reshape(len(part), -1), axis=1)
+            for table, bits_of in enumerate(chosen):
+                counts = whole[:, bits_of].reshape(len(part), -1, 2).sum(axis=2, dtype=np.int64)
+                home = counts @ units
+                up = np.where(counts < 2, home[:, None] + units, -1)
+                down = np.where(counts > 0, home[:, None] - units, -1)
+                points = np.hstack([home[:, None], up, down])
+                inside = points >= 0
+                yield pd.DataFrame(
+                    {"bucket": points[inside] * 64 + table, "id": np.repeat(part["id"].to_numpy(), inside.sum(axis=1))}
+                )
+
+    def prepare(part: pd.DataFrame):
+        whole = np.frombuffer(b"".join(part["fp"]), dtype=np.uint64).reshape(len(part), -1)
+        masks = np.stack([np.packbits(np.isin(np.arange(LONG), c)) for c in _choices(bits, tables)])
+        mask = masks.view(np.uint64)[part["bucket"].to_numpy() & 63]
+
+        def distance(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            differ = whole[left] ^ whole[right]
+            far = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+            chosen = np.bitwise_count(differ & mask[left]).sum(axis=1, dtype=np.int64)
+            return np.where((chosen <= MAX_BITS) & (far <= FAR_SHARE * LONG), far, -1)
+
+        return distance
+
+    entered = classes.select("id", "fp").mapInPandas(enter, "bucket bigint, id bigint")
+    members = materialize(entered, "long-grid-points")
+    groups = candidate_groups(members).join(classes.select("id", "fp"), "id")
+    pairs = materialize(spanning(groups, prepare).distinct(), "text-pairs")
+
+    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = materialize(classes.join(ends, "id").select("id", "mark"), "text-ends")
+    named = rows.join(wanted, "mark").select("id", "text").dropDuplicates(["id"])
+    named = materialize(named, "texts-to-compare")
+    left, right = (named.select(F.col("id").alias(c), F.col("text").alias(f"_{c}")) for c in ("a", "b"))
+
+    @F.pandas_udf("double")
+    def similar(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y, shingle) for x, y in zip(a, b, strict=True)], dtype=float)
+
+    both = pairs.join(left, "a").join(right, "b")
+    close = both.where(similar(F.col("_a").cast("binary"), F.col("_b").cast("binary")) >= similarity)
+    reach = components(materialize(close.select("a", "b"), "text-links"))
+    rooted = classes.join(reach, classes["id"] == reach["node"], "left").select(
+        "id", "first", F.coalesce("root", "id").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    components_ = materialize(rooted.join(least, "root").select("id", "component_id"), "text-components")
+    return read_rows.select("doc_id", "id").join(components_, "id").select("doc_id", "component_id")

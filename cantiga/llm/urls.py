@@ -138,17 +138,16 @@ def threshold(scored: DataFrame) -> float:
     steps = scored.groupBy(F.floor(F.col("score") / STEP).alias("step")).agg(
         F.count(F.when(F.col("accepted"), 1)).alias("a"), F.count(F.when(~F.col("accepted"), 1)).alias("r")
     )
-    total = F.broadcast(steps.agg(F.sum("a").alias("a_all"), F.sum("r").alias("r_all")))
+    steps = materialize(steps, "url-steps")
+    total = steps.agg(F.sum("a").alias("a"), F.sum("r").alias("r")).first()
+    if not total["a"] or not total["r"]:
+        return 0.0
     # At most a few thousand steps, as a character's ratio is bounded by its counts.
     below = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    gain = F.coalesce(F.sum("r").over(below), F.lit(0)) / F.col("r_all") - F.coalesce(
-        F.sum("a").over(below), F.lit(0)
-    ) / F.col("a_all")
-    best = (
-        steps.join(total).where("a_all > 0 and r_all > 0")
-        .select("step", gain.alias("gain")).orderBy(F.desc("gain"), F.abs("step"), "step").first()
-    )
-    return float(best["step"]) * STEP if best else 0.0
+    rejected = F.coalesce(F.sum("r").over(below), F.lit(0)) / F.lit(total["r"])
+    lost = F.coalesce(F.sum("a").over(below), F.lit(0)) / F.lit(total["a"])
+    best = steps.select("step", (rejected - lost).alias("gain")).orderBy(F.desc("gain"), F.abs("step"), "step").first()
+    return float(best["step"]) * STEP
 
 
 def filter_urls(
