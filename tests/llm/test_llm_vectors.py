@@ -1,0 +1,123 @@
+"""Near-duplicate vectors and exact top-k against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cantiga.llm import topk, vectors
+from cantiga.llm.links import components
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int, id string, n bigint, bucket string"
+
+
+def table(spark, rows):
+    """Rows of ``(vec_id, embedding, label)`` with extra columns of clashing names."""
+    return spark.createDataFrame([(*r, "x", 7, None) for r in rows], SCHEMA)
+
+
+def brute(rows, threshold=0.98):
+    def ok(v):
+        return v is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+    good = [i for i, (d, v, label) in enumerate(rows) if ok(v) and label is not None and d is not None]
+    unit = {i: np.array(rows[i][1], dtype=np.float32).astype(float) for i in good}
+    unit = {i: v / np.linalg.norm(v) for i, v in unit.items()}
+    root = list(range(len(rows)))
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    links = [0] * len(rows)
+    for i in good:
+        for j in good:
+            if i < j and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= threshold:
+                links[i] += 1
+                links[j] += 1
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    least = {}
+    for i in range(len(rows)):
+        if rows[i][0] is not None:
+            least[top(i)] = min(least.get(top(i), rows[i][0]), rows[i][0])
+    return sorted(((d, links[i], least.get(top(i)), d is None or d == least[top(i)]) for i, (d, _, _) in enumerate(rows)), key=repr)
+
+
+def found(df):
+    return sorted(map(tuple, df.select("vec_id", "n_links", "component_id", "kept").collect()), key=repr)
+
+
+def test_links_equal_brute_force_with_a_large_cluster(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(6, 16))
+    rows = []
+    for i in range(900):
+        # One cluster has more members than fit a chunk; the others are chains and copies.
+        c = 0 if i < 620 else int(rng.integers(1, 6))
+        v = centres[c] + rng.normal(size=16) * (0.02 if c == 0 else 0.12)
+        rows.append((i * 3, [float(x) for x in v], 1 if c == 0 else int(rng.integers(2))))
+    rows += [(5000 + i, rows[0][1], 1) for i in range(40)]
+    assert found(vectors.near_duplicate_vectors(table(spark, rows))) == brute(rows)
+
+
+def test_vectors_that_cannot_link(spark):
+    v = [1.0, 2.0]
+    rows = [
+        (1, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [], 1), (7, [0.0, 0.0], 1), (8, [1.0, None], 1),
+        (9, [float("nan"), 1.0], 1), (10, [float("inf"), 1.0], 1), (None, v, 1), (11, [1.0, 2.0, 0.0], 1), (2, v, 1),
+        (12, [2.0, 4.0], 1), (13, [-1.0, -2.0], 1), (14, [3e38, 3e38], 5), (15, [1e-38, 1e-38], 5),
+    ]
+    assert found(vectors.near_duplicate_vectors(table(spark, rows))) == brute(rows)
+
+
+def test_empty_tables(spark):
+    assert vectors.near_duplicate_vectors(table(spark, [])).collect() == []
+    assert topk.exact_top_k(table(spark, []), F.col("id") % 20 == 0).collect() == []
+
+
+def test_more_tables_for_more_vectors():
+    small, large = vectors.table_sizes(1_000, 0.98), vectors.table_sizes(10**9, 0.98)
+    assert small[0] < large[0] and small[1] < large[1]
+    near = vectors.agreement(math.sqrt(2 - 2 * 0.98))
+    assert (1 - near ** large[0]) ** large[1] <= vectors.MISS
+
+
+def test_components_of_a_long_path_and_a_hub(spark):
+    path = [(i, i + 1) for i in range(100, 160)]
+    hub = [(1, i) for i in range(2, 60)] + [(1, 1)]
+    out = dict(components(spark.createDataFrame(path + hub, "a bigint, b bigint")).collect())
+    assert out == {**{i: 100 for i in range(100, 161)}, **{i: 1 for i in range(1, 60)}}
+
+
+def brute_top(rows, every, k=20):
+    good = {}
+    for d, v, _ in rows:
+        if d is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            good.setdefault((d, tuple(math.floor(64 * float(np.float32(x))) for x in v)))
+    out = []
+    for d, v in good:
+        if d % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), e) for e, w in good if e != d and len(w) == len(v))
+            out += [(d, i + 1, e, -s) for i, (s, e) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("spread", [1.0, 0.05])
+def test_top_k_equals_brute_force(spark, spread):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=12) * spread], 0) for i in range(400)]
+    # Ties: many equal vectors, so that smaller ids win.
+    rows += [(1000 + i, rows[20][1], 0) for i in range(60)]
+    rows += [(2000, None, 0), (2020, [None] * 12, 0), (2040, [float("nan")] * 12, 0), (None, rows[0][1], 0), (2060, [1.0], 0), (2080, [2.0], 0)]
+    got = topk.exact_top_k(table(spark, rows), F.col("id") % 20 == 0, query_block=16, candidate_block=64)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 20)
+
+
+def test_top_k_of_large_components_and_few_rows(spark):
+    rows = [(0, [3e15, -2e15], 0), (1, [5e14, 1.0], 0), (2, [-1.0, 7e15], 0), (0, [3e15, -2e15], 0)]
+    got = sorted(map(tuple, topk.exact_top_k(table(spark, rows), F.col("id") % 20 == 0).collect()))
+    expected = brute_top(rows, 20)
+    limits = (-(2**63), 2**63 - 1)
+    assert got == [(q, r, e, min(max(s, limits[0]), limits[1])) for q, r, e, s in expected]
