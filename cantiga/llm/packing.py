@@ -86,12 +86,13 @@ class WordTokenizer:
         for word in words:
             text = word.decode("utf-8", "replace")
             core = text.rstrip(punctuation)
-            split[word] = (core, text[len(core) :]) if core.isalpha() else ("", text)
+            # A letter whose lower case is more than letters would join with what follows.
+            split[word] = (core, text[len(core) :]) if core.lower().isalpha() else ("", text)
         parts = {p for pair in split.values() for p in pair if p and p not in self.parts}
-        letters = [p for p in parts if p.isalpha()]
+        letters = [p for p in parts if p.lower().isalpha()]
         for at in range(0, len(letters), 4096):
             self._ask_together(letters[at : at + 4096])
-        self._ask_each([p for p in parts if not p.isalpha()])
+        self._ask_each([p for p in parts if not p.lower().isalpha()])
         for word, (core, tail) in split.items():
             self.known[word] = (self.parts[core] if core else b"") + (self.parts[tail] if tail else b"")
 
