@@ -238,7 +238,7 @@ def learn(
     # At most ``sample`` rows of two numbers.
     found = texts.join(F.broadcast(named), "id").select("id", "label", text_statistics(F.col("text")).alias("stats"))
     rows = found.groupBy("id", "label").agg(F.min("stats").alias("stats")).select("id", "label", "stats.*")
-    rows = rows.toPandas().sort_values(["id", "label"])
+    rows = rows.toArrow().to_pandas().sort_values(["id", "label"])
     return fit(rows[list(STATISTICS)].to_numpy(float), rows["label"].to_numpy(float))
 
 
