@@ -23,13 +23,12 @@ def once_per_key(crawled: DataFrame, keys: list[str], seq: str = "seq") -> DataF
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """The whole last row of each key. ``seq`` is unique.
+    """The whole last row of each key. ``seq`` is unique within a key.
 
-    Only keys and positions are aggregated; the wide columns move once, by the unique
-    position.
+    Only keys and positions are aggregated; the wide columns move once.
     """
-    last = rows.groupBy(*keys).agg(F.max(seq).alias(seq)).select(seq)
-    return rows.join(last, seq, "left_semi")
+    last = rows.groupBy(*keys).agg(F.max(seq).alias(seq))
+    return rows.join(last, [*keys, seq], "left_semi")
 
 
 def new_artists(crawled: DataFrame, stored: DataFrame) -> DataFrame:

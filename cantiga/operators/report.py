@@ -44,8 +44,8 @@ def letter_counts(artists: DataFrame) -> DataFrame:
 def release_names(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
     """Names for released lyrics: ``song_id, seq, song, artist, artist_id, filename``.
 
-    Where two songs give the same file name the later one stays. ``lyrics`` needs
-    ``song_id`` and ``seq``, unique each.
+    Where two songs give the same file name the later one stays, and among equal
+    positions the larger id. ``lyrics`` needs a unique ``song_id`` and a ``seq``.
     """
     owners = artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist"))
     titled = songs.select(
@@ -56,8 +56,10 @@ def release_names(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> Da
         "filename", N.export_name(F.col("artist"), F.col("song"))
     )
     named = materialize(named, "release-names")
-    last = named.groupBy("filename").agg(F.max("seq").alias("seq")).select("seq")
-    return named.join(last, "seq", "left_semi")
+    place = F.struct("seq", "song_id")
+    last = named.groupBy("filename").agg(F.max(place).alias("_last"))
+    last = last.select("filename", "_last.song_id")
+    return named.join(last, ["filename", "song_id"], "left_semi")
 
 
 def release_rows(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
@@ -91,8 +93,8 @@ def artist_stats(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> Dat
 
 
 def top_artists(stats: DataFrame, n: int = TOP_ARTISTS) -> DataFrame:
-    """The most viewed artists; among equals the first seen comes first."""
-    return stats.orderBy(F.desc("views"), "first_seq").limit(n)
+    """The most viewed artists; among equals the first seen comes first, then the name."""
+    return stats.orderBy(F.desc("views"), "first_seq", "name").limit(n)
 
 
 def release_totals(stats: DataFrame) -> DataFrame:
@@ -108,7 +110,7 @@ def release_notes(stats: DataFrame, title: str) -> DataFrame:
         F.lit("- **"), F.col("name"), F.lit("** ("), F.col("songs"), F.lit(" songs)\n")
     )
     top = top_artists(stats).select(
-        F.struct((-F.col("views")).alias("rank"), "first_seq", entry.alias("line")).alias("_e")
+        F.struct((-F.col("views")).alias("rank"), "first_seq", "name", entry.alias("line")).alias("_e")
     )
     lines = top.agg(
         F.array_join(

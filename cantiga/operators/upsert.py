@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantiga.operators.delta import latest_per_key, once_per_key
+from cantiga.operators.skew import small
 from cantiga.session import materialize
 
 _DIGEST_CHARS = 4
@@ -55,32 +56,31 @@ def _set_views(stored: DataFrame, batch: DataFrame, keys: list[str]) -> DataFram
     )
 
 
-def added_rows(
-    batch: DataFrame, stored: DataFrame, keys: list[str], batch_ts: datetime
-) -> DataFrame:
-    """The rows of a batch with one row per key that are not stored, with their ids."""
-    fresh = materialize(batch.join(stored.select(*keys), keys, "left_anti"), "fresh")
-    return (
+def _upsert(stored: DataFrame, incoming: DataFrame, keys: list[str], batch_ts: datetime) -> DataFrame:
+    """One join of both sides: rows without an id are new, the others may get new views."""
+    batch = once_per_key(incoming, keys).select(
+        *keys, F.col("name").alias("_name"), F.col("views").alias("_views")
+    )
+    both = materialize(stored.join(batch, keys, "full_outer"), "upserted")
+    known = F.col("id").isNotNull()
+    kept = both.where(known).withColumn("views", F.coalesce("_views", "views"))
+    fresh = both.where(~known).drop("id").withColumn("name", F.col("_name"))
+    added = (
         assign_ids(fresh, keys, stored)
-        .withColumn("views", F.coalesce("views", F.lit(0).cast("bigint")))
+        .withColumn("views", F.coalesce("_views", F.lit(0).cast("bigint")))
         .withColumn("added_date", batch_time(batch_ts))
-        .select(*stored.columns)
     )
+    return kept.select(*stored.columns).unionByName(added.select(*stored.columns))
 
 
 def upsert_artists(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
     """Insert by slug, or set the views only; name and date of a stored artist stay."""
-    batch = materialize(once_per_key(incoming, ["slug"]), "artist-batch")
-    added = added_rows(batch, stored, ["slug"], batch_ts)
-    return _set_views(stored, batch, ["slug"]).unionByName(added)
+    return _upsert(stored, incoming, ["slug"], batch_ts)
 
 
 def upsert_songs(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
     """Insert by artist and slug, or set the views only."""
-    keys = ["artist_id", "slug"]
-    batch = materialize(once_per_key(incoming, keys), "song-batch")
-    added = added_rows(batch, stored, keys, batch_ts)
-    return _set_views(stored, batch, keys).unionByName(added)
+    return _upsert(stored, incoming, ["artist_id", "slug"], batch_ts)
 
 
 def update_views(artists: DataFrame, updates: DataFrame, seq: str = "seq") -> DataFrame:
@@ -105,19 +105,19 @@ def added_lyrics(batch: DataFrame, stored: DataFrame, batch_ts: datetime) -> Dat
 
 
 def upsert_lyrics(stored: DataFrame, incoming: DataFrame, batch_ts: datetime) -> DataFrame:
-    """Insert by song, or replace the content and its date. The last content wins."""
+    """Insert by song, or replace the content and its date. The last content wins.
+
+    Stored texts that stay are passed on as they are; only a batch too large to broadcast
+    moves them. A null content replaces nothing.
+    """
     batch = latest_per_key(incoming, ["song_id"]).select("song_id", "content")
     batch = materialize(batch, "lyric-batch")
-    fresh = batch.withColumnRenamed("content", "_content")
+    keys = batch.where(F.col("content").isNotNull()).select("song_id")
+    same = stored.join(F.broadcast(keys) if small(keys) else keys, "song_id", "left_anti")
     replaced = (
-        stored.join(fresh, "song_id", "left")
-        .withColumn(
-            "last_updated",
-            F.when(F.col("_content").isNotNull(), batch_time(batch_ts)).otherwise(
-                F.col("last_updated")
-            ),
-        )
-        .withColumn("content", F.coalesce("_content", "content"))
-        .select(*stored.columns)
+        batch.where(F.col("content").isNotNull())
+        .join(stored.select("id", "song_id"), "song_id")
+        .withColumn("last_updated", batch_time(batch_ts))
     )
-    return replaced.unionByName(added_lyrics(batch, stored, batch_ts))
+    parts = [df.select(*stored.columns) for df in (same, replaced)]
+    return parts[0].unionByName(parts[1]).unionByName(added_lyrics(batch, stored, batch_ts))

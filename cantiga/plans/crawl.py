@@ -3,14 +3,20 @@
 artists  ``slug, name, seq``                     artist links, in page order
 views    ``slug, views, views_text``             view count found for an artist
 songs    ``artist_slug, slug, name, seq``        song list entries
-lyrics   ``artist_slug, slug, seq, views, views_text, content``   one row per song page
+lyrics   ``artist_slug, slug, page, views, views_text, content``   one row per song page
 
-``seq`` is the position in the crawl, unique within each table.
+``page`` is the arrival of a page and its id, ``seq`` a page and the place on it: the position
+in the crawl, unique within each table. A crawl in one piece is arrival 0.
+
+Pages are parsed once, without a shuffle, and their rows can be kept: a crawl is put
+together from the parsed rows of any number of arrivals, and a page fetched again counts as
+its last copy.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +30,10 @@ from cantiga.operators.extract import (
     song_views,
     with_lyric_text,
 )
+from cantiga.operators.skew import small
 from cantiga.schemas import Selector, SiteLayout
 from cantiga.session import materialize
 
-_PER_PAGE = 1 << 20
-
 
 @dataclass(frozen=True)
 class Crawl:
@@ -38,44 +43,110 @@ class Crawl:
     lyrics: DataFrame
 
 
-def _position(page_id: str, pos: str) -> Column:
-    return (F.col(page_id) * _PER_PAGE + F.col(pos)).alias("seq")
+class Crawler(Protocol):
+    """How pages of a layout become a crawl: row by row, and then together."""
+
+    def parse(self, pages: DataFrame) -> DataFrame:
+        """Narrow rows and texts of pages, with their ``page_id`` and without their HTML."""
+
+    def assemble(self, parsed: DataFrame) -> Crawl:
+        """The crawl of parsed rows with their ``page``."""
+
+
+def page_of(arrival: int | Column, page_id: str = "page_id") -> Column:
+    arrival = F.lit(arrival) if isinstance(arrival, int) else arrival
+    return F.struct(arrival.cast("bigint").alias("arrival"), F.col(page_id).cast("bigint").alias("page_id"))
+
+
+def position(page: Column, pos: Column) -> Column:
+    return F.struct(page.alias("page"), pos.cast("int").alias("pos"))
+
+
+def before_all() -> Column:
+    """A position before every page."""
+    none = F.lit(-1).cast("bigint")
+    return position(F.struct(none.alias("arrival"), none.alias("page_id")), F.lit(-1))
+
+
+def crawl_pages(pages: DataFrame, crawler: Crawler) -> Crawl:
+    """Crawl of pages that came together; they are parsed and written once."""
+    parsed = crawler.parse(pages).withColumn("page", page_of(0))
+    kinds = ["kind"] if "kind" in parsed.columns else None
+    return crawler.assemble(materialize(parsed, "parsed", partition_by=kinds))
 
 
 def crawl_site(pages: DataFrame, layout: SiteLayout) -> Crawl:
-    """Crawl of a site with an index page, artist pages and song pages.
+    return crawl_pages(pages, SitePages(layout))
+
+
+def crawl_articles(pages: DataFrame) -> Crawl:
+    return crawl_pages(pages, ArticlePages())
 
-    Pages are parsed once and written without their HTML, one folder per kind of page.
-    A page fetched twice counts as its last copy; the copies to skip are few, so they
-    are listed and the rest of the text stays where it is.
+
+def _latest(parsed: DataFrame, keys: list[str]) -> DataFrame:
+    """Parsed rows without the older copies of a page.
+
+    The copies to skip are few, so they are listed and the texts stay where they are. The
+    rows that are left are written once, for all the tables made of them, if any go.
     """
-    parsed = materialize(extract_site(pages, layout), "site", partition_by=["kind"])
-    copies = parsed.select("page_id", "kind", "path")
-    last = copies.groupBy("kind", "path").agg(F.max("page_id").alias("page_id"))
-    stale = materialize(
-        copies.join(last.select("page_id"), "page_id", "left_anti").select("page_id"), "stale"
-    )
-    current = parsed.join(stale, "page_id", "left_anti").withColumn("seq", F.col("page_id"))
+    copies = parsed.select("page", *keys)
+    last = copies.groupBy(*keys).agg(F.max("page").alias("page"))
+    stale = materialize(copies.join(last, [*keys, "page"], "left_anti").select("page"), "stale")
+    if stale.isEmpty():
+        return parsed
+    kept = parsed.join(F.broadcast(stale) if small(stale) else stale, "page", "left_anti")
+    return materialize(kept.select(*parsed.columns), "current")
+
+
+@dataclass(frozen=True)
+class SitePages:
+    """A site with index pages, artist pages and song pages."""
+
+    layout: SiteLayout
+
+    def parse(self, pages: DataFrame) -> DataFrame:
+        return extract_site(pages, self.layout)
+
+    def assemble(self, parsed: DataFrame) -> Crawl:
+        return _site_crawl(_latest(parsed, ["kind", "path"]))
+
+
+@dataclass(frozen=True)
+class ArticlePages:
+    """Single-song pages: the host is the artist, the page is the song.
+
+    An artist has the views of their most viewed page.
+    """
+
+    def parse(self, pages: DataFrame) -> DataFrame:
+        return extract_articles(pages).drop("url")
+
+    def assemble(self, parsed: DataFrame) -> Crawl:
+        return _article_crawl(_latest(parsed, ["page_id"]))
+
+
+def _site_crawl(current: DataFrame) -> Crawl:
     index = current.where(F.col("kind") == "index")
     artist = current.where(F.col("kind") == "artist")
     song = current.where(F.col("kind") == "song")
-    links = explode_rows(index, "links", ["page_id"])
+    links = explode_rows(index, "links", ["page"])
     listed = explode_rows(
-        artist.withColumnRenamed("path", "artist_slug"), "songs", ["seq", "artist_slug"]
+        artist.withColumnRenamed("path", "artist_slug"), "songs", ["page", "artist_slug"]
     )
+    seq = position(F.col("page"), F.col("pos")).alias("seq")
     parts = F.split("path", "/")
     return Crawl(
-        artists=links.select("slug", "name", _position("page_id", "pos")),
+        artists=links.select("slug", "name", seq),
         views=artist.select(
             F.col("path").alias("slug"),
             dotted_int(F.col("views_text")).alias("views"),
             "views_text",
         ),
-        songs=listed.select("artist_slug", "slug", "name", _position("seq", "pos")),
+        songs=listed.select("artist_slug", "slug", "name", seq),
         lyrics=song.select(
             F.get(parts, F.lit(0)).alias("artist_slug"),
             F.get(parts, F.lit(1)).alias("slug"),
-            "seq",
+            "page",
             song_views(F.col("views_text")).alias("views"),
             "views_text",
             "content",
@@ -112,23 +183,17 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def crawl_articles(pages: DataFrame) -> Crawl:
-    """Crawl of single-song pages: the host is the artist, the page is the song.
-
-    An artist has the views of their most viewed page.
-    """
-    found = extract_articles(pages).drop("url")
-    found = materialize(found, "articles")
+def _article_crawl(found: DataFrame) -> Crawl:
+    seq = position(F.col("page"), F.lit(0))
     per_host = found.groupBy(F.col("host").alias("slug")).agg(
-        F.max("views").alias("views"), F.min("page_id").alias("seq")
+        F.max("views").alias("views"), F.min(seq).alias("seq")
     )
     slug = F.col("page_id").cast("string").alias("slug")
     artist_slug = F.col("host").alias("artist_slug")
-    seq = F.col("page_id").alias("seq")
     views_text = F.col("views").cast("string").alias("views_text")
     return Crawl(
         artists=per_host.select("slug", F.col("slug").alias("name"), "seq"),
         views=per_host.select("slug", "views", views_text),
-        songs=found.select(artist_slug, slug, "name", seq),
-        lyrics=found.select(artist_slug, slug, seq, "views", views_text, "content"),
+        songs=found.select(artist_slug, slug, "name", seq.alias("seq")),
+        lyrics=found.select(artist_slug, slug, "page", "views", views_text, "content"),
     )

@@ -18,7 +18,13 @@ from cantiga.functions import html as H
 from cantiga.functions import names as N
 from cantiga.functions.text import clean_for_detection, dotted_int
 from cantiga.operators import checks, delta, extract, language, report, rules, upsert
-from cantiga.plans.crawl import Crawl, crawl_articles, crawl_site, extract_articles
+from cantiga.plans.crawl import (
+    ArticlePages,
+    SitePages,
+    crawl_articles,
+    crawl_site,
+    extract_articles,
+)
 from cantiga.plans.runs import Detector, RunResult, create_release, run_full, run_incremental
 from cantiga.schemas import ARTISTS, LYRICS, RULES, SONGS, Selector, SiteLayout
 from cantiga.session import materialize, shared_folder, spread
@@ -650,16 +656,46 @@ def snapshot_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages arrive as two loads of files, each taken by an incremental run."""
+    """Pages arrive as two loads of files, each taken by an incremental run over all so far."""
     pages, arrivals = _pages(spark, sf), _scratch(spark, "arrivals")
     store = CatalogueStore(spark, _scratch(spark, "store"))
     detector, checkpoint = _detector(spark, sf), _scratch(spark, "stream")
     for part, when in ((pages.where(_is_stored()), FIRST), (pages.where(~_is_stored()), SECOND)):
         part.write.mode("append").parquet(arrivals)
-        run_arrivals(spark, arrivals, checkpoint, store, crawl_articles, detector, when)
+        run_arrivals(spark, arrivals, checkpoint, store, ArticlePages(), detector, when)
     return _catalogue(store)
 
 
+def stream_site(spark: SparkSession, sf: str) -> DataFrame:
+    """Songs, artists and lists of a site arrive in this order, a file and a run each."""
+    pages, arrivals = materialize(_site_pages(spark, sf), "site-pages"), _scratch(spark, "arrivals")
+    path = N.strip_slashes(N.url_path(F.col("url")))
+    depth = F.when(path == "artists/all", 0).otherwise(F.size(F.split(path, "/")))
+    for kind in (2, 1, 0):
+        pages.where(depth == kind).coalesce(1).write.mode("append").parquet(arrivals)
+    store = CatalogueStore(spark, _scratch(spark, "store"))
+    crawler = SitePages(SiteLayout(index_path="/artists/all"))
+    checkpoint = _scratch(spark, "stream")
+    run_arrivals(
+        spark, arrivals, checkpoint, store, crawler, _detector(spark, sf), FIRST, max_files_per_batch=1
+    )
+    return _catalogue(store).drop("lyric_id", "song_id", "artist_id")
+
+
+def restore_then_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """A run is undone by a restore and runs again, to the same catalogue."""
+    pages, detector = _pages(spark, sf), _detector(spark, sf)
+    store, backup = CatalogueStore(spark, _scratch(spark, "store")), _scratch(spark, "backups")
+    run_full(store, crawl_articles(pages.where(_is_stored())), detector, "first", FIRST)
+    create_backup(store, backup, FIRST)
+    crawl = crawl_articles(pages)
+    for _ in range(2):
+        restore_newest(store, backup, SECOND)
+        run_incremental(store, crawl, detector, "second", SECOND)
+    return _catalogue(store)
+
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -711,5 +747,7 @@ QUERIES = {
         site_run,
         snapshot_roundtrip,
         stream_incremental,
+        stream_site,
+        restore_then_rerun,
     ]
 }

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from cantiga.operators import checks, delta, report, upsert
 from cantiga.operators.language import detect_language
 from cantiga.operators.rules import exclude_keywords, within_length
-from cantiga.operators.skew import lookup_join, small
-from cantiga.plans.crawl import Crawl
+from cantiga.operators.skew import BROADCAST_ROWS, lookup_join, small
+from cantiga.plans.crawl import Crawl, before_all, position
 from cantiga.session import materialize
 from cantiga.sources.rules import LyricRules
 from cantiga.sources.store import CatalogueStore, create_backup
@@ -68,7 +68,7 @@ def process_artists(
         incoming = first.join(counted, "slug")
         return incoming, incoming.select("slug"), bad
     added = delta.new_artists(first, stored).join(counted, "slug")
-    refreshed = stored.select("slug", "name", F.lit(-1).cast("bigint").alias("seq")).join(
+    refreshed = stored.select("slug", "name", before_all().alias("seq")).join(
         counted, "slug"
     )
     slugs = delta.processed_artists(added.select("slug"), stored.select("slug"))
@@ -92,7 +92,7 @@ def missing_lyrics(artists: DataFrame, songs: DataFrame, lyrics: DataFrame) -> D
     owner = artists.select(F.col("id").alias("artist_id"), F.col("slug").alias("artist_slug"))
     missing = delta.split_stored_lyrics(songs, lyrics)[1]
     return lookup_join(
-        missing.select("id", "artist_id", "slug", "name", F.lit(-1).cast("bigint").alias("seq")),
+        missing.select("id", "artist_id", "slug", "name", before_all().alias("seq")),
         owner,
         "artist_id",
         "inner",
@@ -100,27 +100,43 @@ def missing_lyrics(artists: DataFrame, songs: DataFrame, lyrics: DataFrame) -> D
     )
 
 
+def texts_of(crawl: Crawl, pages: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``page, content`` and the other columns of ``pages``, one row per page.
+
+    Texts stay where they are while the pages can be broadcast, else move once by page.
+    """
+    texts = crawl.lyrics.select("page", "content")
+    return texts.join(F.broadcast(pages) if small(pages, limit) else pages, "page")
+
+
 def process_lyrics(
-    crawl: Crawl, songs: DataFrame, detector: Detector, rules: LyricRules | None = None
+    crawl: Crawl,
+    songs: DataFrame,
+    detector: Detector,
+    rules: LyricRules | None = None,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The songs whose page holds lyrics to keep, with their views and page position.
+    """The songs whose page holds lyrics to keep, with their views and page.
 
     Gives the columns of ``songs`` with ``views`` and ``page``; the text stays in the
-    crawl and is fetched by ``page`` later.
+    crawl and is fetched by ``page`` later. Rules are applied once, and only the texts of
+    listed songs are scored. A song that is stored already has no place in a list of this
+    crawl: its place is its own page.
     """
     keys = ["artist_slug", "slug"]
     wanted = crawl.lyrics.where(F.col("content").isNotNull() & F.col("views").isNotNull())
-    texts = wanted.select(F.col("seq").alias("page"), *keys, "views", "content")
+    passing = wanted.select("page", *keys, "views", "content")
     if rules is not None:
-        texts = texts.where(
+        passing = passing.where(
             within_length(F.col("content"), rules.min_length, rules.max_length)
         )
-        texts = exclude_keywords(texts, rules.keywords, "lyrics", "page", "content")
-    listed = songs.join(texts.select("page", *keys, "views"), keys)
+        passing = exclude_keywords(passing, rules.keywords, "lyrics", "page", "content")
+        passing = materialize(passing.select("page", *keys, "views"), "passing-pages")
+    own = position(F.col("page"), F.lit(-1))
+    listed = songs.join(passing.select("page", *keys, "views"), keys)
+    listed = listed.withColumn("seq", F.when(F.col("id").isNull(), F.col("seq")).otherwise(own))
     listed = materialize(listed, "listed-songs")
-    chosen = texts.select("page", "content")
-    if small(listed):
-        chosen = chosen.join(F.broadcast(listed.select("page")), "page", "left_semi")
+    chosen = texts_of(crawl, listed.select("page"), limit)
     spoken = detect_language(chosen, detector.profile, detector.langs, "page", "content")
     kept = spoken.where(F.col("lang") == detector.target).select("page")
     return listed.join(kept, "page", "left_semi")
@@ -178,12 +194,11 @@ def _run(
 
     retried = chosen.where(F.col("id").isNotNull()).select(*kept.columns)
     sung = kept.unionByName(retried).select(F.col("id").alias("song_id"), "page", "seq")
-    texts = crawl.lyrics.select(F.col("seq").alias("page"), "content")
-    ids = upsert.assign_ids(sung, ["song_id"], before["lyrics"])
+    ids = materialize(upsert.assign_ids(sung, ["song_id"], before["lyrics"]), "lyric-ids")
     added = store.stage_added(
         staged,
         "lyrics",
-        texts.join(ids, "page").withColumn("last_updated", upsert.batch_time(batch_ts)),
+        texts_of(crawl, ids).withColumn("last_updated", upsert.batch_time(batch_ts)),
     )
     version = store.publish(staged, batch_ts, batch_id)
 
@@ -259,22 +274,25 @@ def create_release(
     output: str,
     batch_ts: datetime,
     title: str = "Catalogue Update",
+    version: int | None = None,
 ) -> DataFrame | None:
     """Write the release of new lyrics; None when there are none.
 
-    Text files, a compressed bundle and a backup of the tables go under a folder named
-    after the day, the notes beside them. Returns the notes.
+    Text files, a compressed bundle and the notes go under a folder named after the day and
+    the version, so that releases of one day stay apart; a backup of that version goes
+    beside them. ``version`` is the run's, by default the newest. Returns the notes.
     """
     if lyrics.isEmpty():
         return None
-    tables = store.tables()
-    folder = f"{output.rstrip('/')}/release-{batch_ts:%Y%m%d}"
+    row = store.version(version)
+    tables = store.tables(row)
+    folder = f"{output.rstrip('/')}/release-{batch_ts:%Y%m%d}-{row['version']}"
     rows = materialize(
         report.release_rows(lyrics, tables["songs"], tables["artists"]), "release"
     )
     write_song_files(rows, f"{folder}/texts")
     write_bundle(rows, f"{folder}/bundle")
-    create_backup(store, f"{output.rstrip('/')}/backups", batch_ts)
+    create_backup(store, f"{output.rstrip('/')}/backups", batch_ts, row)
     stats = report.artist_stats(lyrics, tables["songs"], tables["artists"])
     notes = report.release_notes(materialize(stats, "artist-stats"), title)
     # The text writer ends the row with the notes' last line break.

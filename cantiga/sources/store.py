@@ -30,6 +30,8 @@ _MANIFEST = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("token", T.StringType()),
         T.StructField("batch_id", T.StringType()),
+        # The version whose rows this one goes on from; none after a clearing.
+        T.StructField("origin", T.LongType()),
         T.StructField("committed_at", T.TimestampNTZType()),
         T.StructField("published_at", T.TimestampNTZType()),
         T.StructField("tables", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
@@ -41,6 +43,7 @@ _BACKUPS = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("stamp", T.StringType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("version", T.LongType()),
         T.StructField("committed_at", T.TimestampNTZType()),
     ]
 )
@@ -50,7 +53,7 @@ class CommitConflict(RuntimeError):
     """Another writer published the same version first."""
 
 
-def _read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """JSON rows under ``path``; none when nothing was ever written there."""
     try:
         return spark.read.schema(schema).json(path)
@@ -60,15 +63,20 @@ def _read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         return spark.createDataFrame([], schema)
 
 
-def _add_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
+def add_row(spark: SparkSession, path: str, schema: T.StructType, row: tuple) -> None:
     spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
 
 
 @dataclass
 class Staged:
-    """Folders written for a version that is not published yet, and the version before."""
+    """Folders written for a version that is not published yet, and the version before.
+
+    ``origin`` is the version whose batches the new one goes on from: the one before, but
+    for a restored or cleared catalogue.
+    """
 
     base: Row | None
+    origin: int | None = None
     tables: dict[str, list[str]] = field(default_factory=dict)
 
 
@@ -81,7 +89,7 @@ class CatalogueStore:
         self._manifest_path = f"{self.root}/manifest"
 
     def manifest(self) -> DataFrame:
-        return _read_rows(self.spark, self._manifest_path, _MANIFEST)
+        return read_rows(self.spark, self._manifest_path, _MANIFEST)
 
     def current(self) -> Row | None:
         """The newest version; of two with one number, the first published."""
@@ -94,15 +102,24 @@ class CatalogueStore:
             self.publish(self.empty(), batch_ts, "init")
 
     def begin(self) -> Staged:
-        return Staged(self.current())
+        base = self.current()
+        return Staged(base, base["version"] if base else None)
 
     def empty(self) -> Staged:
         """Empty tables, also the way to clear a catalogue."""
         staged = self.begin()
+        staged.origin = None
         for name, schema in TABLES.items():
             self.stage(staged, name, self.spark.createDataFrame([], schema))
         return staged
 
+    def version(self, number: int | None = None) -> Row | None:
+        """The manifest row of a version, by default the newest; None when there is none."""
+        if number is None:
+            return self.current()
+        found = self.manifest().where(F.col("version") == number)
+        return found.orderBy("published_at", "token").limit(1).first()
+
     def table(self, name: str) -> DataFrame:
         return self.tables()[name]
 
@@ -115,7 +132,30 @@ class CatalogueStore:
         return table_counts(self.tables())
 
     def has_batch(self, batch_id: str) -> bool:
-        return not self.manifest().where(F.col("batch_id") == batch_id).isEmpty()
+        """Whether the newest version goes back to a run of this batch.
+
+        Versions follow each other but where the catalogue was restored or cleared; only
+        those turns are read, to see which spans of versions the newest one descends from.
+        """
+        current = self.current()
+        if current is None:
+            return False
+        rows = self.manifest()
+        found = {r["version"] for r in rows.where(F.col("batch_id") == batch_id).select("version").collect()}
+        if not found:
+            return False
+        follows = F.col("origin") == F.col("version") - 1
+        turns = rows.where(~F.coalesce(follows, F.lit(False))).orderBy(F.desc("version"))
+        top = current["version"]
+        for turn in turns.select("version", "origin").collect():
+            if turn["version"] > top:
+                continue
+            if any(turn["version"] <= v <= top for v in found):
+                return True
+            if turn["origin"] is None:
+                return False
+            top = turn["origin"]
+        return any(v <= top for v in found)
 
     def _read(self, name: str, folders: list[str]) -> DataFrame:
         if not folders:
@@ -142,18 +182,21 @@ class CatalogueStore:
         return self._read(name, [folder])
 
     def publish(self, staged: Staged, batch_ts: datetime, batch_id: str) -> int:
-        """Make the staged folders the next version; other tables stay as they are."""
+        """Make the staged folders the next version; other tables stay as they are.
+
+        The check for another writer is a help, not a lock: one writer at a time.
+        """
         base = staged.base
         tables = {name: list(base["tables"][name]) if base else [] for name in TABLES}
         tables.update(staged.tables)
         version = base["version"] + 1 if base else 0
         token = uuid.uuid4().hex
         now = datetime.now(UTC).replace(tzinfo=None)
-        _add_row(
+        add_row(
             self.spark,
             self._manifest_path,
             _MANIFEST,
-            (version, token, batch_id, batch_ts, now, tables),
+            (version, token, batch_id, staged.origin, batch_ts, now, tables),
         )
         mine = self.manifest().where(F.col("version") == version)
         first = mine.orderBy("published_at", "token").limit(1).first()
@@ -163,19 +206,23 @@ class CatalogueStore:
 
 
 def backups(spark: SparkSession, backup_root: str) -> DataFrame:
-    return _read_rows(spark, f"{backup_root.rstrip('/')}/manifest", _BACKUPS)
+    return read_rows(spark, f"{backup_root.rstrip('/')}/manifest", _BACKUPS)
 
 
-def create_backup(store: CatalogueStore, backup_root: str, batch_ts: datetime) -> str:
-    """Copy all tables to ``v=<date>-<seq>`` and list the copy when it is complete."""
+def create_backup(
+    store: CatalogueStore, backup_root: str, batch_ts: datetime, version: Row | None = None
+) -> str:
+    """Copy a version's tables to ``v=<date>-<seq>`` and list the copy when it is complete."""
     spark, backup_root = store.spark, backup_root.rstrip("/")
     stamp = batch_ts.strftime("%Y%m%d")
     today = backups(spark, backup_root).where(F.col("stamp") == stamp)
     seq = (today.agg(F.max("seq")).first()[0] or 0) + 1
     name = f"v={stamp}-{seq}-{uuid.uuid4().hex[:8]}"
-    for table, df in store.tables().items():
+    row = version or store.current()
+    for table, df in store.tables(row).items():
         df.write.parquet(f"{backup_root}/{name}/{table}")
-    _add_row(spark, f"{backup_root}/manifest", _BACKUPS, (name, stamp, seq, batch_ts))
+    origin = row["version"] if row else None
+    add_row(spark, f"{backup_root}/manifest", _BACKUPS, (name, stamp, seq, origin, batch_ts))
     return name
 
 
@@ -187,11 +234,16 @@ def newest_backup(spark: SparkSession, backup_root: str) -> str | None:
 def restore_backup(
     store: CatalogueStore, backup_root: str, name: str, batch_ts: datetime
 ) -> int:
-    """Replace the catalogue by a backup. A backup that is not listed is an error."""
+    """Replace the catalogue by a backup. A backup that is not listed is an error.
+
+    Batches that ran after the backup count as not run, and can run again.
+    """
     spark, backup_root = store.spark, backup_root.rstrip("/")
-    if backups(spark, backup_root).where(F.col("path") == name).isEmpty():
+    listed = backups(spark, backup_root).where(F.col("path") == name).first()
+    if listed is None:
         raise FileNotFoundError(f"no backup {name} under {backup_root}")
     staged = store.begin()
+    staged.origin = listed["version"]
     for table, schema in TABLES.items():
         copy = spark.read.schema(schema).parquet(f"{backup_root}/{name}/{table}")
         store.stage(staged, table, copy)

@@ -1,17 +1,51 @@
-"""Incremental runs over page files as they arrive."""
+"""Incremental runs over page files as they arrive.
+
+What a page holds may need another page: a song belongs to the artist that lists it, and
+either may come first. The parsed rows of every arrival are therefore kept, without HTML, and
+each run sees the latest copy of all pages that came so far.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cantiga.plans.crawl import Crawl
+from cantiga.plans.crawl import Crawler, page_of
 from cantiga.plans.runs import Detector, RunResult, run_incremental
 from cantiga.schemas import PAGES
 from cantiga.sources.rules import LyricRules
-from cantiga.sources.store import CatalogueStore
+from cantiga.sources.store import CatalogueStore, add_row, read_rows
+
+_ARRIVALS = T.StructType(
+    [
+        T.StructField("arrival", T.LongType()),
+        T.StructField("batch_id", T.StringType()),
+        T.StructField("folder", T.StringType()),
+    ]
+)
+
+
+def keep_arrival(store: CatalogueStore, batch_id: str, pages: DataFrame, crawler: Crawler) -> DataFrame:
+    """Write the parsed rows of a batch beside the catalogue; gives those of all batches.
+
+    A batch is listed when its folder is complete, once: one that is played again keeps
+    its place among the others.
+    """
+    spark, root = store.spark, f"{store.root}/arrivals"
+    listed = read_rows(spark, f"{root}/manifest", _ARRIVALS)
+    if listed.where(F.col("batch_id") == batch_id).isEmpty():
+        arrival = (listed.agg(F.max("arrival")).first()[0] or 0) + 1
+        folder = f"data/{uuid.uuid4().hex}"
+        crawler.parse(pages).withColumn("page", page_of(arrival)).write.parquet(f"{root}/{folder}")
+        add_row(spark, f"{root}/manifest", _ARRIVALS, (arrival, batch_id, folder))
+        listed = read_rows(spark, f"{root}/manifest", _ARRIVALS)
+    folders = [r["folder"] for r in listed.orderBy("arrival").select("folder").collect()]
+    return spark.read.parquet(*(f"{root}/{folder}" for folder in folders))
 
 
 def run_arrivals(
@@ -19,7 +53,7 @@ def run_arrivals(
     pages_dir: str,
     checkpoint: str,
     store: CatalogueStore,
-    to_crawl: Callable[[DataFrame], Crawl],
+    crawler: Crawler,
     detector: Detector,
     batch_ts: datetime,
     rules: LyricRules | None = None,
@@ -29,7 +63,9 @@ def run_arrivals(
     """Feed every page file not seen before to an incremental run, then stop.
 
     The stream's checkpoint remembers the files. A batch that is played again after a
-    failure finds its id in the catalogue's manifest and does nothing.
+    failure finds its id in the catalogue's manifest and does nothing. How the files are
+    dealt to batches changes when a row is added, not whether it is. Runs without an
+    artist list publish nothing, and their pages are kept for later.
     """
 
     def one_batch(pages: DataFrame, number: int) -> None:
@@ -38,7 +74,8 @@ def run_arrivals(
         batch_id = f"{stream}/{number}"
         if store.has_batch(batch_id):
             return
-        result = run_incremental(store, to_crawl(pages), detector, batch_id, batch_ts, rules)
+        crawl = crawler.assemble(keep_arrival(store, batch_id, pages, crawler))
+        result = run_incremental(store, crawl, detector, batch_id, batch_ts, rules)
         if result is not None and on_result is not None:
             on_result(result)
 

@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_point
+from cantiga.plans.expected import EXPECTED
+from cantiga.plans.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
 TABLES = (
@@ -30,21 +32,18 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.oracle_sql()) == set(entry_point.queries())
+    assert set(EXPECTED) == set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(EXPECTED) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
     assert entry_point.entry(spark).columns == ["name", "views", "songs", "first_seq"]
 
 
-# Parts of longer runs that are checked as well.
-COVERED = {"full_run", "run_report", "run_release"}
-
-
-@pytest.mark.parametrize("name", [n for n in entry_point.queries() if n not in COVERED])
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, database, name):
-    result = entry_point.queries()[name](spark, str(DATA))
-    expected = database.execute(entry_point.oracle_sql()[name])
+    result = QUERIES[name](spark, str(DATA))
+    expected = database.execute(EXPECTED[name])
     columns = [c[0] for c in expected.description]
     assert sorted(result.columns) == sorted(columns)
     got = canonical(result.columns, map(tuple, result.collect()))

@@ -5,11 +5,19 @@ import pytest
 from conftest import DAY_1, DAY_2
 
 from cantiga.operators.language import lang_profile
-from cantiga.plans.crawl import crawl_site
-from cantiga.plans.runs import Detector, create_release, run_full, run_incremental
+from cantiga.plans.crawl import SitePages, before_all, crawl_site
+from cantiga.operators import report
+from cantiga.plans.runs import (
+    Detector,
+    create_release,
+    process_lyrics,
+    run_full,
+    run_incremental,
+    texts_of,
+)
 from cantiga.schemas import LYRICS, PAGES, RULES, SONGS, SiteLayout
 from cantiga.sources.rules import LyricRules
-from cantiga.sources.store import CatalogueStore, backups
+from cantiga.sources.store import CatalogueStore, backups, create_backup, restore_newest
 from cantiga.streaming.arrivals import run_arrivals
 
 LAYOUT = SiteLayout(index_path="/list")
@@ -156,7 +164,7 @@ def test_full_then_incremental_run(spark, crawls, detector, first_run, loaded, t
         "# Songs\n\nAdded 3 new songs from 2 artists.\n\n## Top Artists\n"
         "- **Bia** (2 songs)\n- **Eva** (1 songs)\n"
     )
-    folder = tmp_path / "out" / "release-20240308"
+    folder = tmp_path / "out" / f"release-20240308-{second.version}"
     assert sorted(p.name for p in (folder / "texts").iterdir()) == [
         "Bia - B1.txt", "Bia - B3.txt", "Eva - E1.txt",
     ]
@@ -224,7 +232,7 @@ def test_arriving_files_are_taken_once(spark, pages, detector, store, tmp_path):
     def run():
         run_arrivals(
             spark, arrivals, str(tmp_path / "stream"), store,
-            lambda df: crawl_site(df, LAYOUT), detector, DAY_1, on_result=seen.append,
+            SitePages(LAYOUT), detector, DAY_1, on_result=seen.append,
         )
 
     pages(*FIRST).coalesce(1).write.parquet(arrivals)
@@ -242,3 +250,67 @@ def test_arriving_files_are_taken_once(spark, pages, detector, store, tmp_path):
         (tmp_path / "stream" / "commits" / name).unlink(missing_ok=True)
     run()
     assert len(seen) == 2 and store.manifest().count() == 2
+
+
+@pytest.mark.parametrize("files", [None, 1])
+def test_pages_that_arrive_apart_from_their_list(spark, pages, detector, store, tmp_path, files):
+    arrivals = str(tmp_path / "pages")
+    for part in (FIRST[5:], FIRST[1:5], FIRST[:1]):  # songs first, the list last
+        pages(*part).coalesce(1).write.mode("append").parquet(arrivals)
+        run_arrivals(
+            spark, arrivals, str(tmp_path / "stream"), store, SitePages(LAYOUT), detector, DAY_1, max_files_per_batch=files
+        )
+    assert lyrics_of(store) == [("ana", "s1", 50, PT), ("bia", "b2", 0, PT + "\nfim")]
+    assert store.manifest().count() == 1
+
+
+def test_large_page_numbers_and_long_lists(spark, detector, store):
+    items = [index(("ana", "Ana")), artist("ana", "7", *[f"s{i}" for i in range(30)]), song("ana", "s29", PT)]
+    table = spark.createDataFrame([((1 << 44) + i, *item) for i, item in enumerate(items)], PAGES)
+    run_full(store, crawl_site(table, LAYOUT), detector, "one", DAY_1)
+    assert lyrics_of(store) == [("ana", "s29", 0, PT)]
+
+
+def test_only_listed_pages_are_scored(spark, crawls, detector):
+    songs = spark.createDataFrame([(None, 1, "ana", "s1", "S1")], "id bigint, artist_id bigint, artist_slug string, slug string, name string")
+    songs = songs.withColumn("seq", before_all())
+    for limit in (0, 50_000):
+        kept = process_lyrics(crawls["first"], songs, detector, limit=limit)
+        assert rows(kept, "artist_slug", "slug", "views") == [("ana", "s1", 50)]
+        assert texts_of(crawls["first"], kept.select("page"), limit).count() == 1
+
+
+def test_retried_lyrics_of_one_file_name(spark, crawls, detector, loaded, tmp_path):
+    staged = loaded.begin()
+    ana = loaded.table("artists").where("slug = 'ana'").first()["id"]
+    listed = [(8, ana, "x/y", "s1", 5, DAY_1), (9, ana, "x_y", "s9", 5, DAY_1), (10, ana, "q", "s10", 5, DAY_1)]
+    loaded.stage(staged, "songs", spark.createDataFrame(listed, SONGS))
+    loaded.stage(staged, "lyrics", spark.createDataFrame([], LYRICS))
+    loaded.publish(staged, DAY_1, "lonely")
+    more = [*FIRST, song("ana", "s9", PT), song("ana", "s10", PT)]
+    table = spark.createDataFrame([(i, *item) for i, item in enumerate(more)], PAGES)
+    result = run_incremental(loaded, crawl_site(table, LAYOUT), detector, "two", DAY_2, retry_missing_lyrics=True)
+    names = report.release_names(result.lyrics, loaded.table("songs"), loaded.table("artists"))
+    assert rows(names, "filename", "song") == [("Ana - q.txt", "q"), ("Ana - x_y.txt", "x_y"), ("Bia - B2.txt", "B2")]
+
+
+def test_batches_after_a_backup_run_again(crawls, detector, loaded, tmp_path):
+    backup = str(tmp_path / "backups")
+    create_backup(loaded, backup, DAY_1)
+    run_incremental(loaded, crawls["second"], detector, "two", DAY_2)
+    after = lyrics_of(loaded)
+    restore_newest(loaded, backup, DAY_2)
+    assert loaded.has_batch("one") and not loaded.has_batch("two") and len(lyrics_of(loaded)) == 2
+    assert run_incremental(loaded, crawls["second"], detector, "two", DAY_2) is not None
+    assert lyrics_of(loaded) == after and loaded.has_batch("two")
+    loaded.publish(loaded.empty(), DAY_2, "clear")
+    assert loaded.has_batch("clear") and not loaded.has_batch("one") and not loaded.has_batch("two")
+
+
+def test_releases_of_one_day_stay_apart(crawls, detector, loaded, first_run, tmp_path):
+    out = str(tmp_path / "out")
+    create_release(loaded, first_run[1].lyrics, out, DAY_1, version=first_run[1].version)
+    second = run_incremental(loaded, crawls["second"], detector, "two", DAY_1)
+    create_release(loaded, second.lyrics, out, DAY_1, version=second.version)
+    folders = sorted(p.name for p in (tmp_path / "out").iterdir() if p.name.startswith("release"))
+    assert folders == ["release-20240301-0", "release-20240301-1"]
