@@ -89,10 +89,18 @@ def _unescape_common(col: Column) -> Column:
     return col
 
 
+def _windows_1252() -> dict[str, str]:
+    """Numbers 128 to 159 mean Windows-1252 characters in HTML, but for five without one."""
+    found = {n: bytes([n]).decode("cp1252", "ignore") for n in range(0x80, 0xA0)}
+    return {str(n): char for n, char in found.items() if char}
+
+
 def _code_point(number: Column) -> Column:
     """Character of a code point; NULL outside Unicode and for surrogates."""
     ok = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    remapped = F.from_json(F.lit(json.dumps(_windows_1252())), "map<string,string>")
+    plain = F.when(ok, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    return F.coalesce(F.try_element_at(remapped, number.cast("string")), plain)
 
 
 def _unescape_piece(piece: Column) -> Column:

@@ -57,6 +57,7 @@ def test_unescape(texts):
         "&copy;&nbsp;&middot;": "© ·",
         "cora&ccedil;&atilde;o &amp; paix&atilde;o": "coração & paixão",
         "&#231;&#xE7;&#x1F600;": "çç😀",
+        "&#146;&#x80;&#x9f;&#129;": "\u2019\u20ac\u0178\x81",
         "&#0;&#55296;&#99999999;": "&#0;&#55296;&#99999999;",
         "&unknown; & &": "&unknown; & &",
         "&eacute;&amp;lt;": "é&lt;",
