@@ -20,35 +20,44 @@ from cantiga.session import materialize
 # Members of a bucket that are compared in one piece, and rows of a group of small buckets.
 CHUNK = 512
 GROUP_ROWS = 8192
+# Buckets whose sizes are broadcast: two numbers each, 16 MB at the most.
+BROADCAST_BUCKETS = 1_000_000
+# Pairs of a member that are given beside a spanning forest.
+CLOSEST = 3
 # Pairs that are verified at a time, which bounds the memory of a comparison.
 PAIRS_AT_ONCE = 1 << 16
 
 Verify = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
-def candidate_groups(members: DataFrame, chunk: int = CHUNK, group_rows: int = GROUP_ROWS) -> DataFrame:
+def candidate_groups(
+    members: DataFrame, chunk: int = CHUNK, group_rows: int = GROUP_ROWS, carry: tuple[str, ...] = ()
+) -> DataFrame:
     """Rows ``group, bucket, chunk, wide, id`` of every bucket with two members or more.
 
-    ``members`` has ``bucket, id`` (both bigint), each pair once. Small buckets share
-    groups of about ``group_rows`` rows. In a large one, a member goes to one group for
-    each chunk, its own included, where ``wide`` tells its chunks apart.
+    ``members`` has ``bucket, id`` (both bigint), each pair once, and the columns to
+    ``carry``; it is read twice. Small buckets share groups of about ``group_rows`` rows.
+    In a large one, a member goes to one group for each chunk, its own included, where
+    ``wide`` tells its chunks apart.
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
     sizes = materialize(sizes, "bucket-sizes")
-    rows = sizes.agg(F.sum("_n")).first()[0] or 0
+    buckets, rows = sizes.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    if buckets <= BROADCAST_BUCKETS:
+        sizes = F.broadcast(sizes)
     groups = max(1, -(-rows // group_rows))
     chunks = F.ceil(F.col("_n") / F.lit(chunk)).cast("int")
     own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("_chunks")).cast("int")
     dealt = members.join(sizes, "bucket").withColumn("_chunks", chunks).withColumn("chunk", own)
     cells = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    dealt = dealt.select("bucket", "id", "chunk", "_chunks", cells.alias("_other"))
+    dealt = dealt.select("bucket", "id", *carry, "chunk", "_chunks", cells.alias("_other"))
     low, high = F.least("chunk", "_other"), F.greatest("chunk", "_other")
     wide = F.col("_chunks") > 1
     group = F.when(wide, F.concat_ws(":", "bucket", low, high)).otherwise(
         F.pmod(F.xxhash64("bucket"), F.lit(groups)).cast("string")
     )
     cross = wide & (low != high)
-    return dealt.select(group.alias("group"), "bucket", "chunk", cross.alias("wide"), "id")
+    return dealt.select(group.alias("group"), "bucket", "chunk", cross.alias("wide"), "id", *carry)
 
 
 def _pairs(bucket: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -127,8 +136,9 @@ def spanning(groups: DataFrame, prepare: Callable[[pd.DataFrame], Callable]) ->
     """``a, b``: a spanning forest of each group's linked pairs, closest pairs first.
 
     As ``linked``, but the function of ``prepare`` returns the distance of each pair, below
-    zero where it does not link. A group gives fewer rows than it has members, and any two
-    members that link are joined by pairs at most as far apart as they are.
+    zero where it does not link. Any two members that link are joined by pairs at most as
+    far apart as they are. As a check that follows may break a pair of the forest, the
+    ``CLOSEST`` pairs of each member are given too: a few rows per member in all.
     """
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -150,12 +160,19 @@ def spanning(groups: DataFrame, prepare: Callable[[pd.DataFrame], Callable]) ->
                 x = root[x]
             return x
 
-        for _, a, b in np.unique(np.concatenate(found), axis=0).tolist():
+        pairs = np.unique(np.concatenate(found), axis=0)
+        for i, (_, a, b) in enumerate(pairs.tolist()):
             x, y = top(a), top(b)
             if x != y:
                 root[max(x, y)] = min(x, y)
-                edges.append((a, b))
-        chosen = np.array(edges, dtype=np.int64).reshape(-1, 2)
+                edges.append(i)
+        ends = np.concatenate([pairs[:, 1], pairs[:, 2]])
+        order = np.argsort(ends, kind="stable")  # pairs come by distance
+        place = np.empty(len(ends), dtype=np.int64)
+        place[order] = np.arange(len(ends)) - np.searchsorted(ends[order], ends[order])
+        close = (place < CLOSEST).reshape(2, -1).any(axis=0)
+        close[edges] = True
+        chosen = pairs[close, 1:]
         return pd.DataFrame({"a": ids[chosen[:, 0]], "b": ids[chosen[:, 1]]})
 
     return groups.groupBy("group").applyInPandas(compare, "a bigint, b bigint")

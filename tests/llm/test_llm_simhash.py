@@ -113,13 +113,18 @@ def test_similar_texts_are_exact(spark):
         rows += [(d + i, " ".join(edited(rng, words, i * max(1, len(words) // 110)))) for i in range(6)]
     got = {d: c for d, c in simhash.similar_texts(table(spark, rows)).collect() if d is not None}
     texts = [t.encode() if t else None for _, t in rows]
-    near = [[simhash.jaccard(a, b, 5) >= 0.8 for b in texts] for a in texts]
-    group = roots(len(rows), lambda a, b: near[a][b])
-    least = {}
-    for (d, _), g in zip(rows, group, strict=True):
-        if d is not None:
-            least[g] = min(least.get(g, d), d)
-    want = {d: least[g] for (d, _), g in zip(rows, group, strict=True) if d is not None}
-    # No link is invented, and a link at the threshold may be missed rarely.
+    alike = [[simhash.jaccard(a, b, 5) for b in texts] for a in texts]
+
+    def named(similarity):
+        group = roots(len(rows), lambda a, b: alike[a][b] >= similarity)
+        least = {}
+        for (d, _), g in zip(rows, group, strict=True):
+            if d is not None:
+                least[g] = min(least.get(g, d), d)
+        return {d: least[g] for (d, _), g in zip(rows, group, strict=True) if d is not None}
+
+    # No link is invented, one at the threshold is missed rarely, and closer ones hardly ever.
+    want, close = named(0.8), named(0.87)
     assert all(got[d] >= want[d] for d in want)
-    assert sum(got[d] == want[d] for d in want) >= 0.97 * len(want)
+    assert sum(got[d] == want[d] for d in want) >= 0.9 * len(want)
+    assert sum(got[d] <= close[d] for d in close) >= 0.99 * len(close)
