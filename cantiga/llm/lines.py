@@ -28,6 +28,8 @@ from cantiga.session import materialize
 MIN_WORDS = 5
 # Repeated lines of a bucket that is ordered in one piece.
 BUCKET_ROWS = 1 << 16
+# Documents with runs and runs that are broadcast: two or three numbers each, 32 MB at most.
+BROADCAST_RUNS = 500_000
 
 _PLACE = ["doc_id", "mark", "pos"]
 
@@ -149,10 +151,14 @@ def dedup_lines(
     marked = own.select("doc_id", text_mark(F.col("doc_id"), F.col("text")).alias("mark"), "text")
     lines = materialize(_lines(marked), "lines")
     runs = materialize(repeated_runs(suffix_ranks(lines), min_words), "line-runs")
+    rows, listed = runs.agg(F.count("*"), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
     runs = runs.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
     mark = text_mark(F.col(id_col).cast("bigint"), F.col(text_col))
     # The mark covers a null id as well.
-    joined = kept.withColumn("_mark", mark).join(runs.drop("_id"), "_mark", "left")
+    runs = runs.drop("_id")
+    # Few runs go to the texts; many, and the texts, move once by the mark.
+    few = rows + listed <= BROADCAST_RUNS
+    joined = kept.withColumn("_mark", mark).join(F.broadcast(runs) if few else runs, "_mark", "left")
     text = F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_runs")))
     deleted = F.aggregate("_runs", F.lit(0), lambda total, r: total + r["end"] - r["start"])
     return joined.select(
