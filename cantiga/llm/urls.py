@@ -117,7 +117,11 @@ def event_ratios(events: DataFrame, grams: DataFrame, contexts: DataFrame, order
     # Order 0 has one context, which every event needs: a row of totals.
     base = contexts.where("k = 0").drop("k", "c").first()
     totals = base.asDict() if base else {}
-    joined = spread.join(grams, ["k", "c", "sym"], "left").join(contexts.where("k > 0"), ["k", "c"], "left")
+    # Rows of order 0 match no context there; their own text spreads them over the tasks.
+    longer = contexts.where("k > 0").withColumnRenamed("c", "_at")
+    joined = spread.join(grams, ["k", "c", "sym"], "left")
+    joined = joined.withColumn("_at", F.when(F.col("k") == 0, F.col("context")).otherwise(F.col("c")))
+    joined = joined.join(longer, ["k", "_at"], "left")
 
     def filled(name: str) -> Column:
         at_zero = F.lit(totals.get(name, 0)) if name.endswith(("_all", "_kinds")) else F.col(name)
