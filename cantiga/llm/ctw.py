@@ -10,13 +10,16 @@ has the weighted probability
 so with w(s) = Pe(s) / (2 Pw(s)) the probability of a bit is the mixture along its contexts:
 w(s) times the estimate at s, and 1 - w(s) times what the longer context says.
 
-What is learned are counts of (context, byte) grams. The corpus is read in blocks of about
-``BLOCK_BYTES`` of text. Each block asks for the distinct grams and words it holds, once;
-counts are summed per gram; contexts are folded from the longest to the empty one; and each
-gram's probability goes back to the blocks that asked for it. Nothing of the size of the
-corpus or of its vocabulary meets in one place: a group of contexts that share their last two
-bytes is bounded by the alphabet and not by the corpus, its deepest contexts are worked on
-``_CONTEXTS`` at a time, and the driver sees one row per byte.
+What is learned are counts of (context, byte) grams, folded from the longest contexts to the
+empty one. A group of contexts that share their last two bytes is bounded by the alphabet and
+not by the corpus, its deepest contexts are worked on ``_CONTEXTS`` at a time, and the driver
+sees one row per byte.
+
+The corpus is read in blocks of about ``BLOCK_BYTES`` of text. Each block asks once for the
+distinct words it holds, and gets their counts back with its texts. Grams repeat far more
+than words: a task asks for its distinct ones, and while all of them are at most
+``BROADCAST_GRAMS`` their probabilities are broadcast. Beyond, blocks ask for grams as they
+do for words, and nothing of the size of the vocabulary meets in one place.
 """
 
 from __future__ import annotations
@@ -28,13 +31,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantiga.session import materialize
 
 DEPTH = 5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
+# Grams whose probabilities are broadcast: 16 bytes each, 48 MB at the most.
+BROADCAST_GRAMS = 3_000_000
+# Grams that a task folds at a time.
+_FOLD = 1 << 20
 _END = b"\n"
 _NODES = 256
 # Contexts that are worked on at a time.
@@ -208,13 +215,13 @@ def _fold_byte(rows: pd.DataFrame) -> pd.DataFrame:
 
 def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     """``gram, log_p`` (natural logarithm) from ``gram, n`` with ``n`` training counts."""
-    if not 3 <= depth <= 6:
-        raise ValueError("a depth of 3 to 6 bytes")
+    if not 3 <= depth <= 5:
+        raise ValueError("a depth of 3 to 5 bytes")
     key = F.shiftright("gram", 8).bitwiseAND(0xFFFF).alias("_last_two")
     schema = "last int, counts array<double>, longer array<double>"
     pairs = counts.groupBy(key).applyInPandas(lambda rows: _fold_group(rows, depth), schema)
     # One row per byte value: 256 rows at most.
-    ones = materialize(pairs, "contexts-2").groupBy("last").applyInPandas(_fold_byte, schema).toPandas()
+    ones = materialize(pairs, "contexts-2").groupBy("last").applyInPandas(_fold_byte, schema).toArrow().to_pandas()
     byte_counts, longer = np.zeros((256, 256)), np.zeros((256, 256))
     for last, c, w in ones.itertuples(index=False):
         byte_counts[last], longer[last] = c, w
@@ -245,11 +252,11 @@ def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return counts.groupBy(key).applyInPandas(score, "gram bigint, log_p double")
 
 
-def _blocked(documents: DataFrame, block_bytes: int) -> DataFrame:
-    """``documents`` (id, held_out, text) with ``block``: the scan's partition and a piece of it.
+def _numbered(block_bytes: int):
+    """Adds ``block`` to batches of id, held_out and text: the scan's partition and a piece of it.
 
-    Both passes scan the same files in the same splits, so blocks agree; a gram that the
-    second pass does not find would stop the query.
+    Both passes scan the same files in the same splits, so blocks agree; a word or gram that
+    the second pass does not find would stop the query.
     """
 
     def number(batches):
@@ -264,46 +271,95 @@ def _blocked(documents: DataFrame, block_bytes: int) -> DataFrame:
             size = int(ends[-1]) if len(ends) else size
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], ["doc_id", "held_out", "text", "block"])
 
-    return documents.mapInArrow(number, "doc_id bigint, held_out boolean, text binary, block bigint")
-
-
-def _asked(blocked: DataFrame, depth: int) -> DataFrame:
-    """Per block its distinct words and grams with their training counts."""
-    schema = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
-
-    def flush(block: int, words: Counter, held: set, codes: list, held_codes: list):
-        for word in held:
-            words.setdefault(word, 0)
-        keys, counts = np.unique(np.concatenate([np.empty(0, np.int64), *codes]), return_counts=True)
-        more = np.setdiff1d(np.concatenate([np.empty(0, np.int64), *held_codes]), keys)
-        for name, values, n in (
-            ("word", pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())),
-            ("gram", pa.array(np.append(keys, more)), pa.array(np.append(counts, np.zeros(len(more), np.int64)))),
-        ):
-            rows = len(values)
-            columns = {
-                "block": pa.array(np.full(rows, block)), "word": pa.nulls(rows, pa.binary()), "gram": pa.nulls(rows, pa.int64()), "n": n,
-            }
-            columns[name] = values
-            yield from pa.Table.from_pydict(columns, schema=schema).to_batches(max_chunksize=1 << 16)
+    return number
+
+
+class _GramCounts:
+    """Distinct grams with their training counts, folded as they come."""
+
+    def __init__(self) -> None:
+        self.fresh: tuple[list, list] = ([], [])
+        self.waiting = 0
+        self.codes, self.counts = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+
+    def add(self, codes: np.ndarray, is_held: bool) -> None:
+        self.fresh[is_held].append(codes)
+        self.waiting += len(codes)
+        if self.waiting > _FOLD:
+            self.fold()
+
+    def fold(self) -> None:
+        codes, counts = [self.codes], [self.counts]
+        for is_held, fresh in enumerate(self.fresh):
+            if fresh:
+                found, n = np.unique(np.concatenate(fresh), return_counts=True)
+                codes.append(found)
+                counts.append(n * (1 - is_held))
+                fresh.clear()
+        self.waiting = 0
+        whole, n = np.concatenate(codes), np.concatenate(counts)
+        order = np.argsort(whole, kind="stable")
+        whole, n = whole[order], n[order]
+        starts = np.flatnonzero(np.append(True, whole[1:] != whole[:-1])) if len(whole) else np.empty(0, dtype=np.int64)
+        self.codes, self.counts = whole[starts], np.add.reduceat(n, starts) if len(starts) else n
+
+    def take(self) -> tuple[np.ndarray, np.ndarray]:
+        self.fold()
+        out = self.codes, self.counts
+        self.__init__()
+        return out
+
+
+_ASKED = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
+
+
+def _rows(block: int | None, name: str, values: pa.Array, n: pa.Array) -> Iterator[pa.RecordBatch]:
+    size = len(values)
+    columns = {f.name: pa.nulls(size, f.type) for f in _ASKED} | {name: values, "n": n}
+    if block is not None:
+        columns["block"] = pa.array(np.full(size, block))
+    yield from pa.Table.from_pydict(columns, schema=_ASKED).to_batches(max_chunksize=1 << 16)
+
+
+def _asked(documents: DataFrame, depth: int, block_bytes: int, words: bool, blockwise: bool) -> DataFrame:
+    """Distinct words per block and distinct grams, with their training counts.
+
+    Grams are distinct per task, or ``blockwise`` per block.
+    """
+    numbered = _numbered(block_bytes)
 
     def read(batches):
-        block = None
-        words, held, codes, held_codes = Counter(), set(), [], []
-        for batch in batches:
-            for is_held, text, at in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+        block, counter, held, counted = None, Counter(), set(), _GramCounts()
+
+        def words_of_block():
+            for word in held:
+                counter.setdefault(word, 0)
+            yield from _rows(block, "word", pa.array(counter.keys(), pa.binary()), pa.array(counter.values(), pa.int64()))
+            counter.clear()
+            held.clear()
+
+        def grams_so_far():
+            codes, n = counted.take()
+            yield from _rows(block if blockwise else None, "gram", pa.array(codes), pa.array(n))
+
+        for batch in numbered(batches):
+            for is_held, text, at in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
+                is_held, at = is_held.as_py(), at.as_py()
                 if block is not None and at != block:
-                    yield from flush(block, words, held, codes, held_codes)
-                    words, held, codes, held_codes = Counter(), set(), [], []
+                    yield from words_of_block()
+                    if blockwise or len(counted.codes) > 2 * _FOLD:
+                        yield from grams_so_far()
                 block = at
-                own, coded = stream(text)
-                own.append(b"")  # the end, counted as a token
-                (held_codes if is_held else codes).append(grams([coded], depth)[0])
-                held.update(own) if is_held else words.update(own)
+                own, coded = stream(text.as_py())
+                counted.add(grams([coded], depth)[0], is_held)
+                if words:
+                    own.append(b"")  # the end, counted as a token
+                    held.update(own) if is_held else counter.update(own)
         if block is not None:
-            yield from flush(block, words, held, codes, held_codes)
+            yield from words_of_block()
+            yield from grams_so_far()
 
-    return blocked.mapInArrow(read, "block bigint, word binary, gram bigint, n bigint")
+    return documents.mapInArrow(read, "block bigint, word binary, gram bigint, n bigint")
 
 
 def score_texts(
@@ -313,6 +369,7 @@ def score_texts(
     text_col: str = "text",
     depth: int = DEPTH,
     block_bytes: int = BLOCK_BYTES,
+    broadcast_grams: int = BROADCAST_GRAMS,
 ) -> DataFrame:
     """Scores of every document by models of those for which ``held_out`` is false.
 
@@ -325,38 +382,49 @@ def score_texts(
     rows = documents.select(
         F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("binary").alias("text")
     )
-    blocked = _blocked(rows, block_bytes)
-    asked = materialize(_asked(blocked, depth), "asked")
-    words, codes = asked.where("word is not null"), asked.where("gram is not null")
-    word_counts = materialize(words.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    total, kinds = word_counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
-    gram_counts = materialize(codes.groupBy("gram").agg(F.sum("n").alias("n")), "gram-counts")
+    asked = materialize(_asked(rows, depth, block_bytes, True, False), "asked")
+    same = Window.partitionBy("word")
+    words = asked.where("word is not null").select(
+        "block", "word", F.sum("n").over(same).alias("n"), (F.min("block").over(same) == F.col("block")).alias("first")
+    )
+    words = materialize(words, "word-counts")
+    kinds = F.count(F.when(F.col("n") > 0, 1))
+    total, distinct = words.where("first").agg(F.coalesce(F.sum("n"), F.lit(0)), kinds).first()
+    gram_counts = asked.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
+    gram_counts = materialize(gram_counts, "gram-counts")
     chances = materialize(gram_probabilities(gram_counts, depth), "gram-probabilities")
 
-    empty = F.lit(None)
-    known = words.select("block", "word").join(word_counts, "word").select(
-        "block", "word", empty.cast("bigint").alias("gram"), F.col("n").cast("double").alias("value")
-    )
-    found = codes.select("block", "gram").join(chances, "gram").select(
-        "block", empty.cast("binary").alias("word"), "gram", F.col("log_p").alias("value")
-    )
-    answers = known.unionByName(found)
-    below = total + kinds + 1
+    answers = words.select("block", "word", F.col("n").cast("double").alias("value"))
+    spread = None
+    if gram_counts.count() <= broadcast_grams:
+        known = chances.toArrow().sort_by("gram")
+        spread = documents.sparkSession.sparkContext.broadcast((known["gram"].to_numpy(), known["log_p"].to_numpy()))
+    else:
+        wanted = _asked(rows, depth, block_bytes, False, True).where("gram is not null").select("block", "gram")
+        found = materialize(wanted, "asked-grams").join(chances, "gram")
+        answers = answers.unionByName(found.select("block", "gram", F.col("log_p").alias("value")), allowMissingColumns=True)
+    below = total + distinct + 1
 
     def score(docs: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        is_word = told["gram"].isna().to_numpy()
-        counts = dict(zip(told["word"].to_numpy()[is_word], told["value"].to_numpy()[is_word], strict=True))
-        codes = told["gram"].to_numpy()[~is_word].astype(np.int64)
-        order = np.argsort(codes)
-        codes, chance = codes[order], told["value"].to_numpy()[~is_word][order]
+        value, word = told["value"].to_numpy(), told["word"].to_numpy()
+        if spread is None:
+            gram = told["gram"].to_numpy()
+            is_word = np.isnan(gram.astype(float))
+            codes, chance = gram[~is_word].astype(np.int64), value[~is_word]
+            value, word = value[is_word], word[is_word]
+            order = np.argsort(codes)
+            codes, chance = codes[order], chance[order]
+        else:
+            codes, chance = spread.value
+        counts = dict(zip(word, value, strict=True))
         out = []
         for doc_id, is_held, text in zip(docs["doc_id"], docs["held_out"], docs["text"], strict=True):
             own, coded = stream(text)
             own.append(b"")
-            c = np.array([counts[w] for w in own])
+            c = np.fromiter(map(counts.__getitem__, own), dtype=float, count=len(own))
             code = grams([coded], depth)[0]
-            at = np.searchsorted(codes, code)
-            if at.max() >= len(codes) or (codes[at] != code).any():
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            if (codes[at] != code).any():
                 raise ValueError("the scan's splits changed between the passes")
             natural = float(chance[at].sum())
             out.append(
@@ -372,4 +440,5 @@ def score_texts(
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double, bits_per_byte double"
     )
+    blocked = rows.mapInArrow(_numbered(block_bytes), "doc_id bigint, held_out boolean, text binary, block bigint")
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)
