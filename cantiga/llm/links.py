@@ -2,8 +2,9 @@
 
 Both near-duplicate operators propose candidates as buckets of ids. A bucket may hold a
 third of all ids, so buckets above ``CHUNK`` members are cut into chunks, and every pair of
-chunks becomes a group of its own. A group never returns its pairs: it returns, per id, how
+chunks becomes a group of its own. A group of ``linked`` never returns its pairs: it returns, per id, how
 much it is linked to and one member of its local component, which keeps every connection.
+``candidate_pairs`` gives pairs, for checks that need more than a group has.
 """
 
 from __future__ import annotations
@@ -22,8 +23,6 @@ CHUNK = 512
 GROUP_ROWS = 8192
 # Buckets whose sizes are broadcast: two numbers each, 16 MB at the most.
 BROADCAST_BUCKETS = 1_000_000
-# Pairs of a member that are given beside a spanning forest.
-CLOSEST = 3
 # Pairs that are verified at a time, which bounds the memory of a comparison.
 PAIRS_AT_ONCE = 1 << 16
 
@@ -132,48 +131,23 @@ def linked(groups: DataFrame, prepare: Callable[[pd.DataFrame], Verify]) -> Data
     return groups.groupBy("group").applyInPandas(compare, schema)
 
 
-def spanning(groups: DataFrame, prepare: Callable[[pd.DataFrame], Callable]) -> DataFrame:
-    """``a, b``: a spanning forest of each group's linked pairs, closest pairs first.
+def candidate_pairs(groups: DataFrame, prepare: Callable[[pd.DataFrame], Verify]) -> DataFrame:
+    """``a, b``, the smaller one first: all pairs of each group that the function of ``prepare`` lets through.
 
-    As ``linked``, but the function of ``prepare`` returns the distance of each pair, below
-    zero where it does not link. Any two members that link are joined by pairs at most as
-    far apart as they are. As a check that follows may break a pair of the forest, the
-    ``CLOSEST`` pairs of each member are given too: a few rows per member in all.
+    As ``linked``, for checks that cannot be made inside a group. A pair may come from several groups.
     """
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["bucket", "id"], ignore_index=True)
-        ids, node = np.unique(rows["id"].to_numpy(), return_inverse=True)
-        distance = prepare(rows)
+        ids, verify = rows["id"].to_numpy(), prepare(rows)
         wide = bool(rows["wide"].iloc[0])
-        pairs = _cross(rows["chunk"].to_numpy()) if wide else _pairs(rows["bucket"].to_numpy())
-        found = [np.empty((0, 3), dtype=np.int64)]
-        for left, right in pairs:
-            far = distance(left, right)
-            keep = far >= 0
-            found.append(np.stack([far[keep], node[left[keep]], node[right[keep]]], axis=1))
-        root, edges = list(range(len(ids))), []
-
-        def top(x: int) -> int:
-            while root[x] != x:
-                root[x] = root[root[x]]
-                x = root[x]
-            return x
-
-        pairs = np.unique(np.concatenate(found), axis=0)
-        for i, (_, a, b) in enumerate(pairs.tolist()):
-            x, y = top(a), top(b)
-            if x != y:
-                root[max(x, y)] = min(x, y)
-                edges.append(i)
-        ends = np.concatenate([pairs[:, 1], pairs[:, 2]])
-        order = np.argsort(ends, kind="stable")  # pairs come by distance
-        place = np.empty(len(ends), dtype=np.int64)
-        place[order] = np.arange(len(ends)) - np.searchsorted(ends[order], ends[order])
-        close = (place < CLOSEST).reshape(2, -1).any(axis=0)
-        close[edges] = True
-        chosen = pairs[close, 1:]
-        return pd.DataFrame({"a": ids[chosen[:, 0]], "b": ids[chosen[:, 1]]})
+        found = [np.empty((0, 2), dtype=np.int64)]
+        for left, right in _cross(rows["chunk"].to_numpy()) if wide else _pairs(rows["bucket"].to_numpy()):
+            keep = verify(left, right)
+            pairs = np.stack([ids[left[keep]], ids[right[keep]]], axis=1)
+            found.append(np.sort(pairs, axis=1))
+        pairs = np.concatenate(found)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).drop_duplicates()
 
     return groups.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
 

@@ -128,3 +128,33 @@ def test_similar_texts_are_exact(spark):
     assert all(got[d] >= want[d] for d in want)
     assert sum(got[d] == want[d] for d in want) >= 0.9 * len(want)
     assert sum(got[d] <= close[d] for d in close) >= 0.99 * len(close)
+
+
+def linked_ids(spark, rows):
+    return {d: c for d, c in simhash.similar_texts(table(spark, rows)).collect()}
+
+
+def test_similar_pairs_inside_a_family_are_linked(spark):
+    # Any two of the family are at about 0.7, mostly below the threshold; twins are above it.
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(200)]
+    texts = [edited(rng, base, 4) for _ in range(CHUNK // 2 + 20)]
+    texts += [edited(rng, words, 3) for words in texts]
+    texts = [" ".join(words) for words in texts]
+    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
+    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
+    group = roots(len(texts), alike)
+    assert 100 < len(set(group)) < len(texts)
+    assert linked_ids(spark, list(enumerate(texts))) == dict(enumerate(group))
+
+
+def test_prefix_of_similar_sets_meets():
+    rng = np.random.default_rng(4)
+    none = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
+    for size in (1, 4, 5, 9, 40, 333):
+        whole = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        other = np.unique(np.concatenate([whole, rng.integers(0, 2**63, size // 4).astype(np.uint64)]))
+        common = (whole[::2], np.arange(3, 3 + len(whole[::2])))
+        for listed in (none, common):
+            left, right = (set(simhash.prefix(x, 0.8, listed).tolist()) for x in (whole, other))
+            assert left & right
