@@ -148,6 +148,16 @@ def test_similar_pairs_inside_a_family_are_linked(spark):
     assert linked_ids(spark, list(enumerate(texts))) == dict(enumerate(group))
 
 
+def test_short_texts_at_the_threshold_are_linked(spark):
+    # 8 words against 9 share four of five shingles, 10 against 11 six of seven.
+    rng = random.Random(12)
+    rows, words = [], lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
+    for d in range(0, 400, 2):
+        text = words(8 if d % 4 else 10)
+        rows += [(d, " ".join(text)), (d + 1, " ".join(text + words(1)))]
+    assert linked_ids(spark, rows) == {d: d - d % 2 for d, _ in rows}
+
+
 def test_prefix_of_similar_sets_meets():
     rng = np.random.default_rng(4)
     none = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
