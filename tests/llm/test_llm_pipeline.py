@@ -109,3 +109,13 @@ def test_stages_on_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_near_dedup_keeps_a_row_of_each_group(spark):
+    words = lambda p, n=40: " ".join(f"{p}{i}" for i in range(n))
+    rows = [
+        (None, words("a"), "en", "s", 1), (None, words("b"), "en", "s", 1), (None, words("b", 41), "en", "s", 1), (7, words("c"), "en", "s", 1),
+        (7, words("d"), "en", "s", 1), (None, words("e"), "en", "s", 1), (9, words("e", 42), "en", "s", 1), (8, words("f"), "en", "s", 1),
+        (8, words("f"), "en", "s", 1), (8, words("f"), "en", "t", 1), (8, words("f", 39), "en", "s", 1),
+    ]
+    out = corpus_pipeline.dedup_near(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    groups = sorted(r["text"][0] for r in out)
+    assert groups == list("abcdef") and {r["doc_id"] for r in out if r["text"][0] == "e"} == {9}
