@@ -223,3 +223,25 @@ def test_network_learns_what_secrets_look_like(spark):
     probe = [(1, f"the access code reads {hexes(24)} here"), (2, "call 192.168.17.23 or user17@mail.example.com"), (3, rows[0][1])]
     out = {r["doc_id"]: r["spans"] for r in secrets.scan(table(spark, probe), model).collect()}
     assert out[1].startswith("network:22:46") and out[2] == "" and out[3].count("assign:") == 1 and "network" not in out[3]
+
+
+class LooksForX(secrets.CharacterNetwork):
+    """Stands for a trained network: a window with an X inside the candidate is a secret."""
+
+    def __init__(self):
+        pass
+
+    def logits(self, windows):
+        inside = windows[:, secrets.BEFORE : secrets.BEFORE + secrets.INSIDE]
+        return np.where((inside == ord("X") - 30).any(axis=1), 9.0, -9.0)
+
+
+def test_candidates_are_read_whole_and_short_ones_too():
+    model = secrets.SecretModel(LooksForX(), threshold=0.5)
+    for text in ("see /" + "a/z1" * 30 + "X" + "z" * 50 + " here", "é see " + "z1" * 60 + "X", "got passXphrase there", "got a1Xb2c3d"):
+        spans = secrets.scan_text(text, text.encode(), model)
+        assert [text[a:b] for a, b, _ in spans] == [w for w in text.split() if "X" in w], text
+    assert secrets.scan_text("too sXhort", b"too sXhort", model) == []
+    parts = secrets.pieces(5, 306)
+    assert parts[0][0] == 5 and parts[-1][1] == 306 and all(b - a == secrets.INSIDE for a, b in parts)
+    assert all(c <= b - 20 for (_, b), (c, _) in zip(parts, parts[1:], strict=False))
