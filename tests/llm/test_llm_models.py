@@ -245,3 +245,12 @@ def test_candidates_are_read_whole_and_short_ones_too():
     parts = secrets.pieces(5, 306)
     assert parts[0][0] == 5 and parts[-1][1] == 306 and all(b - a == secrets.INSIDE for a, b in parts)
     assert all(c <= b - 20 for (_, b), (c, _) in zip(parts, parts[1:], strict=False))
+
+
+def test_threshold_keeps_the_asked_recall():
+    # Labels that nothing in the window tells: no threshold at 0.5 keeps the recall, and the precision is low.
+    rng = np.random.default_rng(3)
+    windows = rng.integers(2, 96, (600, secrets.WINDOW)).astype(np.uint8)
+    model = secrets.fit(windows, (rng.random(600) < 0.5).astype(float), recall=0.97)
+    assert model.network is not None and model.recall >= 0.97 and model.precision < 0.9
+    assert secrets.fit(windows[:20], np.zeros(20)).network is None
