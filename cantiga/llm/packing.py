@@ -14,6 +14,9 @@ Ids are only counted and checksummed: a piece can be cut again from its document
 from __future__ import annotations
 
 import heapq
+import json
+import re
+import unicodedata
 import zlib
 from array import array
 from string import punctuation
@@ -30,21 +33,49 @@ CAPACITY = 2048
 CUT = 512
 GROUP = 1024
 END_ID = 1
-# Words whose ids a worker remembers, and bytes of text it looks at together.
-MEMORY = 500_000
+# Words whose ids a worker remembers before it lets go of those not met since, and bytes of
+# text it looks at together.
+MEMORY = 250_000
 AT_ONCE = 1 << 20
 # Sequence numbers kept for a group; a group has far fewer pieces.
 _MOST_WINDOWS = 1 << 24
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+# Fixed value: how the tokenizer cuts a text, once it is normalised by these steps.
+PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALISED = ["NFC", "Replace", "Lowercase"]
+
+
+def _class(kind: str) -> str:
+    """Characters of a Unicode class among the settled ones, as the body of a regex class."""
+    return "".join(re.escape(chr(c)) for c in range(0x250) if unicodedata.category(chr(c))[0] == kind)
+
+
+# Characters that no version of Unicode puts into another class and no normal form changes,
+# and whose lower case is one of them.
+_SMALL = "".join(re.escape(chr(c)) for c in range(0x250) if max(chr(c).lower()) < chr(0x250) and len(chr(c).lower()) == 1)
+_SETTLED = re.compile(f"[{_SMALL}\u2010-\u2027\u20ac]*")
+_SPACE = r"\t-\r \x85\xa0"
+_PRETOKEN = re.compile(
+    PRETOKENS.replace(r"[^\s\p{L}\p{N}]", f"[^{_SPACE}{_class('L')}{_class('N')}]")
+    .replace(r"[\p{L}]", f"[{_class('L')}]")
+    .replace(r"[\p{N}]", f"[{_class('N')}]")
+)
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that never joins what ASCII white space parts.
 
     For such a tokenizer a text's ids are those of its words in order, so the ids of a word
-    are asked for once and remembered. Words of letters only are asked for many at a time;
-    their ends show in the ids, as the last piece of each has the word-end suffix. Only
-    upper and lower case of A-Z is folded, for tokenizers that lower-case.
+    are asked for once and remembered. Words are cut further into the tokenizer's own
+    pre-tokens where these are known, and pre-tokens are asked for many at a time: their ends
+    show in the ids, as the last piece of each has the word-end suffix. Junk is mostly new
+    words, but of few pre-tokens. Only upper and lower case of A-Z is folded, for tokenizers
+    that lower-case.
+
+    Memory is kept in two generations: when one is full, the one before is forgotten, and
+    what is met again goes into the new one.
     """
 
     def __init__(self, path: str, memory: int = MEMORY) -> None:
@@ -54,47 +85,61 @@ class WordTokenizer:
         self.memory = memory
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.older: tuple[dict[bytes, bytes], dict[str, bytes]] = ({}, {})
         suffix = "</w>"
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.folds = self.whole("A b") == self.whole("a B")
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.cuts = _cuts_as_known(path)
 
     def whole(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit numbers, asked for directly."""
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > self.memory:
-            self.known.clear()
-            self.parts.clear()
+        if max(len(self.known), len(self.parts)) > self.memory:
+            self.older = self.known, self.parts
+            self.known, self.parts = {}, {}
         plain = [not any(s in t for s in self.special) for t in texts]
-        words = [(t.lower() if self.folds else t).split() if p else [] for t, p in zip(texts, plain, strict=True)]
-        known = self.known
+        # A letter and a combining mark (these start with one byte) may be one character in one case only.
+        words = [(t.lower() if self.folds and b"\xcc" not in t else t).split() if p else [] for t, p in zip(texts, plain, strict=True)]
+        known, older = self.known, self.older[0]
         new = {w for ws in words for w in ws if w not in known}
-        if new:
-            self._learn(new)
+        known.update((w, older[w]) for w in new if w in older)
+        self._learn([w for w in new if w not in older])
         return [
             b"".join(map(known.__getitem__, ws)) if p else self.whole(t.decode("utf-8", "replace"))
             for t, ws, p in zip(texts, words, plain, strict=True)
         ]
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Split each word into letters and the ASCII marks behind them, where it is that."""
-        split: dict[bytes, tuple[str, str]] = {}
+    def _learn(self, words: list[bytes]) -> None:
+        """Cut each word into what can be asked for together, or leave it whole."""
+        split: dict[bytes, list[str]] = {}
+        together: set[str] = set()
         for word in words:
             text = word.decode("utf-8", "replace")
             core = text.rstrip(punctuation)
+            if self.cuts and _SETTLED.fullmatch(text):
+                split[word] = _PRETOKEN.findall(text.lower())
+                together.update(split[word])
             # A letter whose lower case is more than letters would join with what follows.
-            split[word] = (core, text[len(core) :]) if core.lower().isalpha() else ("", text)
-        parts = {p for pair in split.values() for p in pair if p and p not in self.parts}
-        letters = [p for p in parts if p.lower().isalpha()]
-        for at in range(0, len(letters), 4096):
-            self._ask_together(letters[at : at + 4096])
-        self._ask_each([p for p in parts if not p.lower().isalpha()])
-        for word, (core, tail) in split.items():
-            self.known[word] = (self.parts[core] if core else b"") + (self.parts[tail] if tail else b"")
+            elif core.lower().isalpha():
+                split[word] = [core, text[len(core) :]] if core != text else [core]
+                together.add(core)
+            else:
+                split[word] = [text]
+        parts, older = self.parts, self.older[1]
+        new = {p for pieces in split.values() for p in pieces if p not in parts}
+        parts.update((p, older[p]) for p in new if p in older)
+        new = [p for p in new if p not in older]
+        asked = [p for p in new if p in together]
+        for at in range(0, len(asked), 4096):
+            self._ask_together(asked[at : at + 4096])
+        self._ask_each([p for p in new if p not in together])
+        for word, pieces in split.items():
+            self.known[word] = b"".join(map(parts.__getitem__, pieces))
 
     def _ask_together(self, words: list[str]) -> None:
         packed = self.whole(" ".join(words))
@@ -112,6 +157,15 @@ class WordTokenizer:
             self.parts[word] = _pack(found.ids)
 
 
+def _cuts_as_known(path: str) -> bool:
+    """Whether the tokenizer file cuts texts by ``PRETOKENS`` after the known normalisation."""
+    with open(path, encoding="utf-8") as file:
+        described = json.load(file)
+    steps = (described.get("normalizer") or {}).get("normalizers") or []
+    cuts = ((described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return [s["type"] for s in steps] == NORMALISED and (cuts.get("pattern") or {}).get("Regex") == PRETOKENS
+
+
 def _pack(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
