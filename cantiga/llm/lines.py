@@ -152,17 +152,19 @@ def dedup_lines(
     lines = materialize(_lines(marked), "lines")
     runs = materialize(repeated_runs(suffix_ranks(lines), min_words), "line-runs")
     rows, listed = runs.agg(F.count("*"), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
-    runs = runs.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
-    mark = text_mark(F.col(id_col).cast("bigint"), F.col(text_col))
     # The mark covers a null id as well.
-    runs = runs.drop("_id")
+    runs = runs.select("mark", "runs")
+    mark = text_mark(F.col(id_col).cast("bigint"), F.col(text_col))
+    # The caller's columns go in one struct, so that no name of theirs meets one of ours.
+    whole = kept.select(F.struct(*kept.columns).alias("doc"), mark.alias("mark"))
     # Few runs go to the texts; many, and the texts, move once by the mark.
     few = rows + listed <= BROADCAST_RUNS
-    joined = kept.withColumn("_mark", mark).join(F.broadcast(runs) if few else runs, "_mark", "left")
-    text = F.when(F.col("_runs").isNull(), F.col(text_col)).otherwise(_without(F.col(text_col), F.col("_runs")))
-    deleted = F.aggregate("_runs", F.lit(0), lambda total, r: total + r["end"] - r["start"])
+    joined = whole.join(F.broadcast(runs) if few else runs, "mark", "left")
+    text = F.col("doc")[text_col]
+    left = F.when(F.col("runs").isNull(), text).otherwise(_without(text, F.col("runs")))
+    deleted = F.aggregate("runs", F.lit(0), lambda total, r: total + r["end"] - r["start"])
     return joined.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in kept.columns],
-        F.coalesce(F.size(F.split(F.col(text_col), "\n")), F.lit(0)).alias("n_lines"),
+        *[(left if c == text_col else F.col("doc")[c]).alias(c) for c in kept.columns],
+        F.coalesce(F.size(F.split(text, "\n")), F.lit(0)).alias("n_lines"),
         F.coalesce(deleted, F.lit(0)).alias("n_deleted"),
     )

@@ -4,7 +4,6 @@ Both near-duplicate operators propose candidates as buckets of ids. A bucket may
 third of all ids, so buckets above ``CHUNK`` members are cut into chunks, and every pair of
 chunks becomes a group of its own. A group of ``linked`` never returns its pairs: it returns, per id, how
 much it is linked to and one member of its local component, which keeps every connection.
-``candidate_pairs`` gives pairs, for checks that need more than a group has.
 """
 
 from __future__ import annotations
@@ -131,27 +130,6 @@ def linked(groups: DataFrame, prepare: Callable[[pd.DataFrame], Verify]) -> Data
     return groups.groupBy("group").applyInPandas(compare, schema)
 
 
-def candidate_pairs(groups: DataFrame, prepare: Callable[[pd.DataFrame], Verify]) -> DataFrame:
-    """``a, b``, the smaller one first: all pairs of each group that the function of ``prepare`` lets through.
-
-    As ``linked``, for checks that cannot be made inside a group. A pair may come from several groups.
-    """
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["bucket", "id"], ignore_index=True)
-        ids, verify = rows["id"].to_numpy(), prepare(rows)
-        wide = bool(rows["wide"].iloc[0])
-        found = [np.empty((0, 2), dtype=np.int64)]
-        for left, right in _cross(rows["chunk"].to_numpy()) if wide else _pairs(rows["bucket"].to_numpy()):
-            keep = verify(left, right)
-            pairs = np.stack([ids[left[keep]], ids[right[keep]]], axis=1)
-            found.append(np.sort(pairs, axis=1))
-        pairs = np.concatenate(found)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]}).drop_duplicates()
-
-    return groups.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node of ``edges(a, b)``.
 

@@ -250,9 +250,11 @@ def score_quality(
     Null and empty texts have statistics of zero and a score like any other. Columns of the
     same names are replaced; all others are kept.
     """
-    measured = documents.withColumn("_stats", text_statistics(F.col(text_col)))
-    scored = measured.withColumn("score", ensemble.score(F.col("_stats"))).drop("_stats")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    kept = documents.drop("score", "predicted")
+    # The caller's columns go in one struct, so that no name of theirs meets one of ours.
+    measured = kept.select(F.struct(*kept.columns).alias("doc"), text_statistics(F.col(text_col)).alias("stats"))
+    scored = measured.select("doc", ensemble.score(F.col("stats")).alias("score"))
+    return scored.select("doc.*", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cantiga.llm import ctw, lines, mixing, packing, quality, secrets, simhash, topk, urls, vectors
+from cantiga.llm import align, codes, ctw, leaks, lines, mixing, packing, quality, secrets, simhash, topk, urls, vectors
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,42 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A 16-part code for every embedding, with its error and that of its label."""
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    found = codes.label_errors(coded).withColumn("codebooks_sha256", F.lit(codes.digest(books)))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document are in passages of the benchmark, and in which items'."""
+    found = leaks.leak_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def aligned_tokenizers() -> tuple[str, str]:
+    """The tokenizer files that the alignment query compares."""
+    import public_tokenizers
+
+    return tuple(str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the ids of two tokenizers stand for each other in every document."""
+    return align.align(_table(spark, sf_dir, "documents"), *aligned_tokenizers())[1]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_vector_dedup, op2_simhash_dedup, op3_mixing, op4_secrets, op5_url_filter, op6_packing, op7_line_dedup, op8_quality, op9_context_tree, op10_exact_top_k)
+    f.__name__: f
+    for f in (
+        op1_vector_dedup, op2_simhash_dedup, op3_mixing, op4_secrets, op5_url_filter, op6_packing, op7_line_dedup, op8_quality,
+        op9_context_tree, op10_exact_top_k, op11_vector_codes, op12_decontamination, op13_tokenizer_alignment,
+    )
 }

@@ -7,19 +7,10 @@ at distance 1 or less from both: every fingerprint is entered at its own point a
 next to it, fingerprints that meet at a point are candidates, and their bits are compared.
 
 Only distinct fingerprints are compared, so equal texts cost one entry.
-
-``near_duplicate_texts`` links fingerprints at a Hamming distance of 2 or less.
-``similar_texts`` links texts by the Jaccard similarity of their word shingles. There a pair
-at the threshold differs in an eighth of its bits and more, and in chance, so bits would miss
-some. Its candidates are texts that share one of the first shingles in an order of all of
-them, the rare ones first: as many are looked at as make sure that no pair at the threshold
-is left out (prefix filtering). Their sets are compared.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,8 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cantiga.llm.links import candidate_groups, candidate_pairs, components, linked
-from cantiga.operators.skew import small
+from cantiga.llm.links import candidate_groups, components, linked
 from cantiga.session import materialize
 
 SEGMENTS = 16
@@ -115,244 +105,57 @@ def link_fingerprints(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return components(edges)
 
 
-def near_duplicate_texts(
+def row_hash(documents: DataFrame) -> Column:
+    """Tells rows apart by all columns; equal rows are treated alike."""
+    return F.xxhash64(*documents.columns, *[F.col(c).isNull() for c in documents.columns])
+
+
+def near_duplicate_rows(
     documents: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     shingle: int = SHINGLE,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint, component_id``.
-
-    Fingerprints link at ``max_bits`` differing bits or fewer; ``component_id`` is the
-    smallest id reachable. A null or empty text has the fingerprint zero and links like any
-    other. Rows may repeat and ids may be null: a null id is never a component's id unless
-    the component has no other. Other columns are not read.
-    """
-    rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = materialize(fingerprints(rows, "text", shingle), "fingerprints")
-    first = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    reach = link_fingerprints(first.select("fp"), max_bits)
-    rooted = first.join(reach, first["fp"] == reach["node"], "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialize(rooted.join(least, "root").select("fp", "component_id"), "fingerprint-components")
-    return rows.join(named, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-# Distinct texts of a sample for common shingles, how many of them hold a common one, and the
-# most that are listed (12 bytes each, broadcast). They order shingles: results do not depend on them.
-SAMPLE_TEXTS, COMMON, COMMON_LISTED = 10_000, 3, 200_000
-# Texts whose marks, and buckets whose hubs are broadcast: a few numbers each.
-BROADCAST_TEXTS = 1_000_000
-# Pairs that are verified in one task, about.
-PAIRS_OF_CELL = 1024
-
-
-def shingle_hashes(text: bytes | None, shingle: int) -> np.ndarray:
-    """The 64-bit hashes of the distinct word shingles, sorted; none without a word."""
-    words = (text or b"").lower().split()
-    size = min(shingle, len(words))
-    if not size:
-        return np.empty(0, dtype=np.uint64)
-    hashed = xxhash.xxh3_64_intdigest
-    grams = zip(*(words[i:] for i in range(size)), strict=False)
-    return np.unique(np.fromiter((hashed(b" ".join(g), len(g)) for g in grams), dtype=np.uint64))
-
-
-def prefix(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """The first shingles in the order of all shingles, enough of them that every set as similar shares one.
-
-    Shingles come by how common they are and then by hash. ``common`` has sorted hashes of
-    the common ones, with their counts. Sets at ``similarity`` share that part of either, so
-    not all of what they share can come after the prefix.
-    """
-    count = np.zeros(len(hashes), dtype=np.int64)
-    listed, counts = common
-    if len(listed):
-        place = np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)
-        count = np.where(listed[place] == hashes, counts[place], 0)
-    ordered = hashes[np.lexsort((hashes, count))]
-    return ordered[: len(hashes) - math.ceil(similarity * len(hashes) - 1e-9) + 1]
-
-
-def jaccard(left: bytes | None, right: bytes | None, shingle: int) -> float:
-    """Similarity of the sets of word shingles; texts without a word are equal."""
-    sets = []
-    for text in (left, right):
-        words = (text or b"").lower().split()
-        size = min(shingle, len(words))
-        sets.append(set(zip(*(words[i:] for i in range(size)), strict=False)))
-    whole = len(sets[0] | sets[1])
-    return len(sets[0] & sets[1]) / whole if whole else 1.0
-
-
-def _common_shingles(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that unlike texts of a sample share, sorted by hash, and in how many they are."""
-
-    def read(batches):
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                hashes = shingle_hashes(text, shingle)
-                name = np.full(len(hashes), xxhash.xxh3_64_intdigest(hashes.tobytes()), dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(name.view(np.int64))], ["h", "id"])
-
-    step = max(1, rows.count() // SAMPLE_TEXTS)
-    sample = rows.where(F.pmod("mark", F.lit(step)) == 0).select(F.col("text").cast("binary"))
-    counts = sample.mapInArrow(read, "h bigint, id bigint").groupBy("h")
-    counts = counts.agg(F.count("*").alias("n"), (F.min("id") < F.max("id")).alias("unlike"))
-    found = counts.where((F.col("n") >= COMMON) & F.col("unlike")).orderBy(F.desc("n"), "h").limit(COMMON_LISTED)
-    found = found.select("h", "n").toArrow()
-    hashes = found["h"].to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], found["n"].to_numpy()[order]
-
-
-def _verified(pairs: DataFrame, classes: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (``a, b``, written) whose sets have the similarity, as ``a, b``.
-
-    Pairs are dealt into cells by blocks of either end, and a cell gets each of its texts once.
-    """
-    ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    degrees = materialize(ends.groupBy("id").agg(F.count("*").alias("n")), "text-ends")
-    most = degrees.agg(F.max("n")).first()[0] or 0
-    blocks = max(1, math.isqrt(pairs.count() // PAIRS_OF_CELL), most // (4 * PAIRS_OF_CELL))
-    wanted = materialize(classes.join(degrees, "id", "left_semi").select("id", "mark"), "text-marks")
-    listed = F.broadcast(wanted) if small(wanted, BROADCAST_TEXTS) else wanted
-    named = rows.select("mark", "text").join(listed, "mark").select("id", F.col("text").cast("binary")).dropDuplicates(["id"])
-    named = materialize(named, "texts-to-compare")
-    block = [F.pmod(F.xxhash64(c, F.lit(11)), F.lit(blocks)) for c in ("a", "b")]
-    dealt = pairs.select((block[0] * blocks + block[1]).alias("cell"), "a", "b")
-    asked = [dealt.select(F.col("cell").alias("at"), F.col(c).alias("id")) for c in ("a", "b")]
-    asked = asked[0].unionByName(asked[1]).distinct()
-
-    def compare(part: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-        sets = {i: shingle_hashes(t, shingle) for i, t in zip(texts["id"], texts["text"], strict=True)}
-        keep = []
-        for a, b in zip(part["a"], part["b"], strict=True):
-            x, y = sets[a], sets[b]
-            same = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(same / max(1, len(x) + len(y) - same) >= similarity)
-        return part.loc[np.array(keep, dtype=bool), ["a", "b"]]
-
-    cells = dealt.groupBy("cell").cogroup(asked.join(named, "id").groupBy("at"))
-    return materialize(cells.applyInPandas(compare, "a bigint, b bigint"), "text-links")
-
-
-def similar_rows(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
-) -> DataFrame:
-    """One row per document: ``doc_id, row, root, component_id``, as ``similar_texts``.
+    """One row per document: ``doc_id, row, fp, root, component_id``, as ``near_duplicate_texts``.
 
     ``row`` is the hash of all columns (``row_hash``), ``root`` is the same for all rows of a
     component and for no others, whatever their ids are.
     """
-    if not 0 < similarity <= 1:
-        raise ValueError("the similarity must be above 0 and at most 1")
-    text = F.col(text_col)
     rows = documents.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), row_hash(documents).alias("row"),
-        F.xxhash64(text, text.isNull()).alias("mark"), text.alias("text"),
-    )
-    # A bounded list, the same at every size of the input.
-    common = documents.sparkSession.sparkContext.broadcast(_common_shingles(rows, shingle))
-
-    def read(batches):
-        for batch in batches:
-            sets = [shingle_hashes(t, shingle) for t in batch.column(3).to_pylist()]
-            names = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], dtype=np.uint64)
-            firsts = [prefix(x, similarity, common.value).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(names.view(np.int64)), pa.array([len(x) for x in sets], pa.int32()), pa.array(firsts, pa.binary())],
-                ["doc_id", "row", "mark", "id", "size", "prefix"],
-            )
-
-    schema = "doc_id bigint, row bigint, mark bigint, id bigint, size int, prefix binary"
-    read_rows = rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(read, schema)
-    read_rows = materialize(read_rows, "shingled-texts")
-    # Texts with the same shingles are one.
-    classes = read_rows.groupBy("id").agg(
-        F.min("doc_id").alias("first"), F.min("mark").alias("mark"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix")
+        F.col(id_col).cast("bigint").alias("doc_id"), row_hash(documents).alias("row"), F.col(text_col).alias("text")
     )
-    classes = materialize(classes, "distinct-shingled-texts")
-
-    def enter(batches):
-        for batch in batches:
-            whole = [np.frombuffer(x, dtype=np.int64) for x in batch.column(2).to_pylist()]
-            times = [len(x) for x in whole]
-            ids, sizes = (np.repeat(batch.column(i).to_numpy(), times) for i in (0, 1))
-            places = [np.arange(n, dtype=np.int32) for n in times]
-            arrays = [np.concatenate(whole), ids, sizes, np.concatenate(places)] if times else [np.empty(0, np.int64)] * 2 + [np.empty(0, np.int32)] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["bucket", "id", "size", "pos"])
-
-    # Entered twice and not written, as most shingles are in one text.
-    members = classes.select("id", "size", "prefix").mapInArrow(enter, "bucket bigint, id bigint, size int, pos int")
-    sizes = materialize(members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "shingle-buckets")
-    members = members.join(F.broadcast(sizes) if small(sizes, BROADCAST_TEXTS) else sizes, "bucket")
-    members = materialize(members, "shared-shingles")
-
-    # What two sets at the similarity share of their sizes. At the first shingle that they
-    # share, what follows it in either must do for the rest.
-    part = similarity / (1 + similarity)
-    # First each member with one of its bucket: most components are found by few pairs.
-    hubs = members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("id", F.lit(5)), "id", "size", "pos")).alias("hub"))
-    hubs = materialize(hubs.select("bucket", *[F.col(f"hub.{c}").alias(f"_{c}") for c in ("id", "size", "pos")]), "shingle-hubs")
-    star = members.join(F.broadcast(hubs) if small(hubs, BROADCAST_TEXTS) else hubs, "bucket").where("id <> _id")
-    shared = F.least(F.col("size") - F.col("pos"), F.col("_size") - F.col("_pos"))
-    star = star.where(shared >= part * (F.col("size") + F.col("_size")) - 1e-9)
-    star = star.select(F.least("id", "_id").alias("a"), F.greatest("id", "_id").alias("b")).distinct()
-    star = materialize(star, "hub-pairs")
-    links = _verified(star, classes, rows, shingle, similarity)
+    return _named(rows, shingle, max_bits).select("doc_id", "row", "fp", "root", "component_id")
 
-    # Then all pairs that are not linked yet, wherever a bucket holds members of more components.
-    reach = components(links)
-    rooted = members.where("n > 2").drop("n").join(reach, members["id"] == reach["node"], "left")
-    rooted = rooted.select("bucket", "id", "size", "pos", F.coalesce("root", "id").alias("root"))
-    rooted = materialize(rooted, "rooted-shingles")
-    apart = rooted.groupBy("bucket").agg((F.min("root") < F.max("root")).alias("apart")).where("apart").drop("apart")
-    apart = materialize(apart, "open-buckets")
-    rest = rooted.join(F.broadcast(apart) if small(apart, BROADCAST_TEXTS) else apart, "bucket")
-    rest = materialize(rest, "open-shingles")
 
-    def prepare(group: pd.DataFrame):
-        size, pos, root = (group[c].to_numpy() for c in ("size", "pos", "root"))
-
-        def may(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-            most = np.minimum(size[left] - pos[left], size[right] - pos[right])
-            return (root[left] != root[right]) & (most >= part * (size[left] + size[right]) - 1e-9)
-
-        return may
-
-    groups = candidate_groups(rest, carry=("size", "pos", "root"))
-    others = candidate_pairs(groups, prepare).distinct().join(star, ["a", "b"], "left_anti")
-    others = materialize(others, "other-pairs")
-    if others.limit(1).count():
-        links = links.unionByName(_verified(others, classes, rows, shingle, similarity))
-        reach = components(links)
-    rooted = classes.join(reach, classes["id"] == reach["node"], "left").select(
-        "id", "first", F.coalesce("root", "id").alias("root")
+def _named(rows: DataFrame, shingle: int, max_bits: int) -> DataFrame:
+    """``rows`` (``doc_id, text`` and more) with ``fp, root, component_id`` and without the text."""
+    rows = materialize(fingerprints(rows, "text", shingle), "fingerprints")
+    first = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    reach = link_fingerprints(first.select("fp"), max_bits)
+    rooted = first.join(reach, first["fp"] == reach["node"], "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    components_ = materialize(rooted.join(least, "root").select("id", "root", "component_id"), "text-components")
-    return read_rows.select("doc_id", "row", "id").join(components_, "id").select("doc_id", "row", "root", "component_id")
+    named = materialize(rooted.join(least, "root").select("fp", "root", "component_id"), "fingerprint-components")
+    return rows.join(named, "fp")
 
 
-def row_hash(documents: DataFrame) -> Column:
-    """Tells rows apart by all columns; equal rows are treated alike."""
-    return F.xxhash64(*documents.columns, *[F.col(c).isNull() for c in documents.columns])
-
-
-def similar_texts(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8
+def near_duplicate_texts(
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """One row per document: ``doc_id, component_id``, linked at ``similarity`` or more.
+    """One row per document: ``doc_id, fingerprint, component_id``.
 
-    Similarity is the Jaccard index of the sets of ``shingle``-word shingles, as hashes of 64
-    bits. All pairs at the similarity are found, at every size and length of the input.
-    Texts with the same set are one. Nulls, empty texts, repeated rows and null ids are
-    handled as by ``near_duplicate_texts``. Other columns are not compared.
+    Fingerprints link at ``max_bits`` differing bits or fewer; ``component_id`` is the
+    smallest id reachable. A null or empty text has the fingerprint zero and links like any
+    other. Rows may repeat and ids may be null: a null id is never a component's id unless
+    the component has no other. Other columns are not read.
     """
-    return similar_rows(documents, id_col, text_col, shingle, similarity).select("doc_id", "component_id")
+    rows = documents.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return _named(rows, shingle, max_bits).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )

@@ -1,4 +1,4 @@
-"""SimHash fingerprints, their links, and similar texts against brute force."""
+"""SimHash fingerprints, and their links against brute force."""
 
 import random
 import re
@@ -95,76 +95,3 @@ def test_documents_with_nulls_copies_and_ties(spark):
 
 def test_empty_tables(spark):
     assert simhash.near_duplicate_texts(table(spark, [])).collect() == []
-    assert simhash.similar_texts(table(spark, [])).collect() == []
-
-
-def edited(rng, words, edits):
-    words = list(words)
-    for _ in range(edits):
-        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
-    return words
-
-
-def test_similar_texts_are_exact(spark):
-    rng = random.Random(2)
-    rows = [(None, None), (900, ""), (901, " "), (902, "tiny"), (903, "tiny")]
-    for d in range(0, 400, 10):
-        words = [f"w{rng.randrange(5000)}" for _ in range(rng.randint(60, 260))]
-        rows += [(d + i, " ".join(edited(rng, words, i * max(1, len(words) // 110)))) for i in range(6)]
-    got = {d: c for d, c in simhash.similar_texts(table(spark, rows)).collect() if d is not None}
-    texts = [t.encode() if t else None for _, t in rows]
-    alike = [[simhash.jaccard(a, b, 5) for b in texts] for a in texts]
-
-    def named(similarity):
-        group = roots(len(rows), lambda a, b: alike[a][b] >= similarity)
-        least = {}
-        for (d, _), g in zip(rows, group, strict=True):
-            if d is not None:
-                least[g] = min(least.get(g, d), d)
-        return {d: least[g] for (d, _), g in zip(rows, group, strict=True) if d is not None}
-
-    # No link is invented, one at the threshold is missed rarely, and closer ones hardly ever.
-    want, close = named(0.8), named(0.87)
-    assert all(got[d] >= want[d] for d in want)
-    assert sum(got[d] == want[d] for d in want) >= 0.9 * len(want)
-    assert sum(got[d] <= close[d] for d in close) >= 0.99 * len(close)
-
-
-def linked_ids(spark, rows):
-    return {d: c for d, c in simhash.similar_texts(table(spark, rows)).collect()}
-
-
-def test_similar_pairs_inside_a_family_are_linked(spark):
-    # Any two of the family are at about 0.7, mostly below the threshold; twins are above it.
-    rng = random.Random(11)
-    base = [f"w{i}" for i in range(200)]
-    texts = [edited(rng, base, 4) for _ in range(CHUNK // 2 + 20)]
-    texts += [edited(rng, words, 3) for words in texts]
-    texts = [" ".join(words) for words in texts]
-    sets = [set(simhash.shingle_hashes(t.encode(), 5).tolist()) for t in texts]
-    alike = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8
-    group = roots(len(texts), alike)
-    assert 100 < len(set(group)) < len(texts)
-    assert linked_ids(spark, list(enumerate(texts))) == dict(enumerate(group))
-
-
-def test_short_texts_at_the_threshold_are_linked(spark):
-    # 8 words against 9 share four of five shingles, 10 against 11 six of seven.
-    rng = random.Random(12)
-    rows, words = [], lambda n: [f"v{rng.randrange(10**6)}" for _ in range(n)]
-    for d in range(0, 400, 2):
-        text = words(8 if d % 4 else 10)
-        rows += [(d, " ".join(text)), (d + 1, " ".join(text + words(1)))]
-    assert linked_ids(spark, rows) == {d: d - d % 2 for d, _ in rows}
-
-
-def test_prefix_of_similar_sets_meets():
-    rng = np.random.default_rng(4)
-    none = (np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))
-    for size in (1, 4, 5, 9, 40, 333):
-        whole = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
-        other = np.unique(np.concatenate([whole, rng.integers(0, 2**63, size // 4).astype(np.uint64)]))
-        common = (whole[::2], np.arange(3, 3 + len(whole[::2])))
-        for listed in (none, common):
-            left, right = (set(simhash.prefix(x, 0.8, listed).tolist()) for x in (whole, other))
-            assert left & right
