@@ -22,11 +22,16 @@ BROADCAST_IDS = 1_000_000
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _apart(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, and all columns but the text in one struct, where no name meets another."""
+    return docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"))
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as good. Labels of all documents may be learned from."""
     ensemble = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score_quality(docs, ensemble, threshold=QUALITY)
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = quality.score_quality(_apart(docs), ensemble, threshold=QUALITY).where("predicted = 1")
+    return scored.select("text", "doc.*").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,39 +39,40 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text. A document that had no text stays as it is.
     """
-    cleaned = lines.dedup_lines(docs).where("n_deleted = 0 or n_deleted < n_lines")
-    return cleaned.withColumn(
-        "n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars"))
-    ).select(*docs.columns)
+    cleaned = lines.dedup_lines(_apart(docs)).where("n_deleted = 0 or n_deleted < n_lines")
+    n_chars = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("doc.n_chars"))
+    new = {"text": F.col("text"), "n_chars": n_chars}
+    return cleaned.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group.
+    """The document with the smallest id of each near-duplicate group, by the SimHash operator.
 
-    Texts link when the sets of their five-word shingles have a similarity of 0.8 or more.
+    Texts link when the fingerprints of their three-word shingles differ in two bits or fewer.
     One row of each group stays, whether ids are null or repeat: of those without an id or with
     the same one, the row with the smallest hash; one without an id only if the group has no other.
     """
-    found = simhash.similar_rows(docs, shingle=5, similarity=0.8).groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
+    found = simhash.near_duplicate_rows(docs).groupBy("root", "doc_id", "row").agg(F.count("*").alias("n"))
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row", "n")).alias("first")
-    kept = found.groupBy("root").agg(first).select(F.col("first.row").alias("_row"), F.col("first.n").alias("_n"))
+    kept = found.groupBy("root").agg(first).select("first.row", "first.n")
     kept = materialize(kept, "kept-documents")
     # Hashes only; more of them than fit a broadcast move the texts once more.
     listed = F.broadcast(kept) if small(kept, BROADCAST_IDS) else kept
-    taken = docs.withColumn("_row", simhash.row_hash(docs)).join(listed, "_row")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), simhash.row_hash(docs).alias("row"))
+    taken = whole.join(listed, "row")
     # Equal rows cannot be told apart, so of those one is picked; the others do not move.
-    one = taken.where("_n = 1").unionByName(taken.where("_n > 1").dropDuplicates(["_row"]))
-    return one.select(*docs.columns)
+    one = taken.where("n = 1").unionByName(taken.where("n > 1").dropDuplicates(["row"]))
+    return one.select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    copies = mixing.mix(docs).groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"))
-    copies = materialize(copies.where("copies > 0"), "mix-copies").withColumnRenamed("doc_id", "_id")
+    copies = mixing.mix(docs).groupBy("mark").agg(F.sum("copies").alias("copies"))
+    copies = materialize(copies.where("copies > 0"), "mix-copies")
     mark = mixing.row_mark(F.col("doc_id"), F.col("text"), F.col("source"))
-    one = docs.withColumn("mark", mark).dropDuplicates(["mark"])
-    taken = one.join(copies, "mark")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    one = docs.select(F.struct(*docs.columns).alias("doc"), mark.alias("mark")).dropDuplicates(["mark"])
+    copy = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")
+    return one.join(copies, "mark").select("doc", copy).select("doc.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
