@@ -150,14 +150,26 @@ def hot(spark):
 def test_salted_join_is_the_plain_join(hot, how):
     left, right = hot
     plain = left.join(right, "k", how)
-    salted = skew.salted_join(left, right, "k", how, "uid", salts=8)
+    salted = skew.salted_join(left, right, "k", how, "uid", target=100)
     assert Counter(map(tuple, salted.select(*plain.columns).collect())) == Counter(map(tuple, plain.collect()))
 
 
-def test_hot_key_is_spread(hot):
+def test_heavy_keys_are_split_by_a_row_target(hot):
     left, _ = hot
-    assert [r["k"] for r in skew.hot_keys(left, "k", share=0.2).collect()] == ["hot"]
-    assert skew.hot_keys(left, "k", share=0.004).count() <= 250
+    assert [tuple(r) for r in skew.heavy_keys(left, "k", target=300).collect()] == [("hot", 4)]
+    assert skew.heavy_keys(left, "k", target=5000).collect() == []
+
+
+def test_no_part_of_a_heavy_key_is_above_twice_the_target(spark, monkeypatch):
+    """A key with 30 % of the rows among very many others; no table of all counts is written."""
+    key = F.when(F.col("id") % 10 < 3, F.lit(-1)).otherwise(F.col("id"))
+    left = spark.range(100_000).select("id", key.alias("k"))
+    written = []
+    monkeypatch.setattr(skew, "materialize", lambda df, name: written.append((name, df.count())) or df)
+    heavy = skew.heavy_keys(left, "k", target=2000)
+    assert written == [("heavy-keys", 1)]
+    parts = left.join(heavy, "k").groupBy(F.pmod(F.xxhash64("id"), F.col("_salts")).alias("part")).count()
+    assert parts.agg(F.max("count")).first()[0] <= 4000 and parts.count() == 15
 
 
 def test_lookup_join_beyond_the_broadcast_limit(hot):
