@@ -18,8 +18,14 @@ PROFILE_BROADCAST_ROWS = 500_000
 
 
 def trigrams(cleaned: Column) -> Column:
-    """All overlapping trigrams of the lower-cased text, in one pass over it."""
-    return F.regexp_extract_all(F.lower(cleaned), F.lit(r"(?s)(?=(...))."), 1)
+    """All overlapping trigrams of the lower-cased text, in one pass over it.
+
+    A space stands before and behind the text, so that its ends count as ends of words and a
+    text of one or two characters has trigrams too. A text without any but spaces has none.
+    """
+    padded = F.concat(F.lit(" "), F.lower(cleaned), F.lit(" "))
+    padded = F.when(F.btrim(cleaned) != "", padded).otherwise(F.substring(cleaned, 1, 0))
+    return F.regexp_extract_all(padded, F.lit(r"(?s)(?=(...))."), 1)
 
 
 def _millionths(probability: Column) -> Column:
@@ -107,7 +113,7 @@ def detect_language(
 ) -> DataFrame:
     """Best language of each text: ``key, lang, score``.
 
-    Texts left without a trigram after cleaning have no row. On equal scores the last
+    Texts left empty after cleaning have no row. On equal scores the last
     language in alphabetical order wins.
     """
     scores = lang_scores(texts, profile, langs, key, text)

@@ -13,7 +13,8 @@ from itertools import groupby
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cantiga.operators.skew import lookup_join
+from cantiga.operators.skew import BROADCAST_ROWS, lookup_join, small
+from cantiga.session import materialize
 
 # Shortest and longest lyric kept, in characters.
 MIN_LYRIC_CHARS = 100
@@ -21,6 +22,8 @@ MAX_LYRIC_CHARS = 4000
 
 # Up to this many keywords become one pattern; a longer list is joined.
 PATTERN_KEYWORDS = 20_000
+# Texts that are looked at to see which words are rare.
+SAMPLE_TEXTS = 10_000
 
 
 def word_form(col: Column) -> Column:
@@ -35,32 +38,57 @@ def keywords_of(rules: DataFrame, scope: str) -> DataFrame:
     return rules.where(F.col("scope") == scope).select(form).where("keyword <> ''").distinct()
 
 
-def _word_runs(form: Column, n: int) -> Column:
-    """All runs of ``n`` neighbouring words of a text in word form, overlaps included."""
-    return F.regexp_extract_all(form, F.lit(rf" (?=([^ ]++(?: [^ ]++){{{n - 1}}}) )"), 1)
+def _words(text: str) -> Column:
+    """The words of a text in word form, in order; none of a null."""
+    words = F.split(F.btrim(word_form(F.col(text))), " ")
+    return F.coalesce(F.filter(words, lambda w: w != ""), F.array().cast("array<string>"))
 
 
-def matching_ids(df: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
-    """Keys of the rows whose text holds any keyword, by joining runs of words.
+def keyword_anchors(df: DataFrame, key: str, text: str, keywords: DataFrame) -> DataFrame:
+    """``word, at, n, keyword``: the rarest word of each keyword, its place in it, and its length.
 
-    A text gives its runs of as many words as some keyword has, and they are looked up
-    by equality, so the list may be of any length.
+    How rare a word is comes from a sample of at most about ``SAMPLE_TEXTS`` texts; it decides
+    how many places are looked at and never what is found.
     """
-    sizes = keywords.select(F.size(F.split("keyword", " ")).alias("n")).distinct()
-    lengths = sorted(row["n"] for row in sizes.collect())
-    forms = df.select(F.col(key), word_form(F.col(text)).alias("_form"))
-    runs = F.concat(*[_word_runs(F.col("_form"), n) for n in lengths])
-    return (
-        lookup_join(
-            forms.select(key, F.explode(runs).alias("keyword")),
-            keywords,
-            "keyword",
-            "left_semi",
-            key,
-        )
-        .select(key)
-        .distinct()
+    step = max(1, df.count() // SAMPLE_TEXTS)
+    sample = df.where(F.pmod(F.xxhash64(key), F.lit(step)) == 0).select(F.explode(_words(text)).alias("word"))
+    placed = keywords.select("keyword", F.posexplode(F.split("keyword", " ")).alias("at", "word"))
+    listed = placed.select("word").distinct()
+    counts = sample.groupBy("word").agg(F.count("*").alias("seen")).join(listed, "word", "left_semi")
+    ranked = placed.join(counts, "word", "left")
+    # Of equally rare words the longest, then the first.
+    rank = F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), (-F.length("word")).alias("short"), "at", "word")
+    anchors = ranked.groupBy("keyword").agg(F.min(rank).alias("a"), F.count("*").cast("int").alias("n"))
+    return anchors.select("a.word", "a.at", "n", "keyword")
+
+
+def matching_ids(
+    df: DataFrame, key: str, text: str, keywords: DataFrame, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Keys of the rows whose text holds any keyword, for lists of any length.
+
+    Every keyword is looked for by its rarest word only. Words that are no anchor fall away in
+    the scan; where an anchor stands, the run of words around it is compared. Anchors of one
+    word need no comparison. A list beyond ``limit`` is joined with heavy words spread.
+    """
+    anchors = materialize(keyword_anchors(df, key, text, keywords), "keyword-anchors")
+    words = df.select(F.col(key), _words(text).alias("_words"))
+    placed = words.select(key, F.posexplode("_words").alias("_pos", "word"))
+    met = lookup_join(placed, anchors, "word", "inner", key, limit).where(F.col("_pos") >= F.col("at"))
+    run = F.struct((F.col("_pos") - F.col("at") + 1).alias("start"), "n", "keyword")
+    # One row per text: whether a single word decides, and the runs to compare otherwise.
+    runs = met.groupBy(key).agg(
+        F.max(F.col("n") == 1).alias("_sure"), F.collect_set(F.when(F.col("n") > 1, run)).alias("_runs")
     )
+    runs = materialize(runs, "keyword-runs")
+    sure = runs.where("_sure").select(key)
+    open_ = runs.where("not _sure").select(key, "_runs")
+    there = words.join(F.broadcast(open_) if small(open_, limit) else open_, key)
+
+    def said(run: Column) -> Column:
+        return F.array_join(F.slice("_words", run["start"], run["n"]), " ") == run["keyword"]
+
+    return sure.unionByName(there.where(F.exists("_runs", said)).select(key))
 
 
 def _any_of(words: list[str]) -> str:
