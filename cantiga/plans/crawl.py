@@ -30,7 +30,7 @@ from cantiga.operators.extract import (
     song_views,
     with_lyric_text,
 )
-from cantiga.operators.skew import small
+from cantiga.operators.skew import lookup_join, small
 from cantiga.schemas import Selector, SiteLayout
 from cantiga.session import materialize
 
@@ -49,8 +49,14 @@ class Crawler(Protocol):
     def parse(self, pages: DataFrame) -> DataFrame:
         """Narrow rows and texts of pages, with their ``page_id`` and without their HTML."""
 
-    def assemble(self, parsed: DataFrame) -> Crawl:
-        """The crawl of parsed rows with their ``page``."""
+    def assemble(self, parsed: DataFrame, stored: DataFrame | None = None) -> Crawl:
+        """The crawl of parsed rows with their ``page``, after which artists are ``stored``."""
+
+    def waiting(self, parsed: DataFrame, artists: DataFrame, songs: DataFrame) -> DataFrame:
+        """The parsed rows, or what is left of them, that later pages may still need.
+
+        ``artists`` and ``songs`` are the stored ones after a run over the rows.
+        """
 
 
 def page_of(arrival: int | Column, page_id: str = "page_id") -> Column:
@@ -107,22 +113,71 @@ class SitePages:
     def parse(self, pages: DataFrame) -> DataFrame:
         return extract_site(pages, self.layout)
 
-    def assemble(self, parsed: DataFrame) -> Crawl:
+    def assemble(self, parsed: DataFrame, stored: DataFrame | None = None) -> Crawl:
         return _site_crawl(_latest(parsed, ["kind", "path"]))
 
+    def waiting(self, parsed: DataFrame, artists: DataFrame, songs: DataFrame) -> DataFrame:
+        """Links to artists that are not stored, artist pages of these, entries of songs that
+        are not stored, and song pages that no stored artist lists.
+
+        A song page that was listed has been judged: it is looked at again when a new copy
+        of it comes, for which its entry waits.
+        """
+        current = _latest(parsed, ["kind", "path"])
+        known = artists.select(F.col("slug").alias("artist_slug"), F.col("id").alias("artist_id"))
+
+        def entries(rows: DataFrame, name: str) -> DataFrame:
+            """The entries that are left, together again per page."""
+            return rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "slug"))).alias(name))
+
+        index = current.where(F.col("kind") == "index")
+        links = explode_rows(index, "links", ["page"])
+        links = links.join(known.select(F.col("artist_slug").alias("slug")), "slug", "left_anti")
+        index = index.drop("links").join(entries(links, "links"), "page")
+
+        lists = current.where(F.col("kind") == "artist").join(known, F.col("path") == F.col("artist_slug"), "left")
+        lists = materialize(lists.drop("artist_slug"), "waiting-lists")
+        listed = explode_rows(lists.withColumnRenamed("path", "artist_slug"), "songs", ["page", "artist_slug", "artist_id"])
+        stored = songs.select("artist_id", "slug")
+        left = entries(listed.join(stored, ["artist_id", "slug"], "left_anti"), "songs")
+        none = F.array().cast(parsed.schema["songs"].dataType)
+        lists = lists.drop("songs").join(left, "page", "left").where(F.col("artist_id").isNull() | F.col("songs").isNotNull())
+        lists = lists.withColumn("songs", F.coalesce("songs", none))
+
+        parts = F.split("path", "/")
+        named = current.where(F.col("kind") == "song").select(
+            "page", F.get(parts, F.lit(0)).alias("artist_slug"), F.get(parts, F.lit(1)).alias("slug")
+        )
+        judged = listed.where(F.col("artist_id").isNotNull()).select("artist_slug", "slug").distinct()
+        named = named.join(judged, ["artist_slug", "slug"], "left_anti")
+        named = lookup_join(named, known, "artist_slug", "left", "slug").join(stored, ["artist_id", "slug"], "left_anti")
+        named = materialize(named.select("page"), "waiting-songs")
+        # Texts stay where they are while the pages can be broadcast.
+        texts = current.where(F.col("kind") == "song").join(F.broadcast(named) if small(named) else named, "page", "left_semi")
+        parts_ = [rows.select(*parsed.columns) for rows in (index, lists, texts)]
+        return parts_[0].unionByName(parts_[1]).unionByName(parts_[2])
+
 
 @dataclass(frozen=True)
 class ArticlePages:
     """Single-song pages: the host is the artist, the page is the song.
 
-    An artist has the views of their most viewed page.
+    An artist has the views of their most viewed page, or of one before that is stored.
     """
 
     def parse(self, pages: DataFrame) -> DataFrame:
         return extract_articles(pages).drop("url")
 
-    def assemble(self, parsed: DataFrame) -> Crawl:
-        return _article_crawl(_latest(parsed, ["page_id"]))
+    def assemble(self, parsed: DataFrame, stored: DataFrame | None = None) -> Crawl:
+        return _article_crawl(_latest(parsed, ["page_id"]), stored)
+
+    def waiting(self, parsed: DataFrame, artists: DataFrame, songs: DataFrame) -> DataFrame:
+        """Pages of artists that are not stored, as none of their pages had a view count."""
+        current = _latest(parsed, ["page_id"])
+        hosts = current.select("host").distinct().join(artists.select(F.col("slug").alias("host")), "host", "left_anti")
+        hosts = materialize(hosts, "waiting-hosts")
+        kept = current.join(F.broadcast(hosts) if small(hosts) else hosts, "host", "left_semi")
+        return kept.select(*parsed.columns)
 
 
 def _site_crawl(current: DataFrame) -> Crawl:
@@ -183,11 +238,14 @@ def extract_articles(pages: DataFrame) -> DataFrame:
     )
 
 
-def _article_crawl(found: DataFrame) -> Crawl:
+def _article_crawl(found: DataFrame, stored: DataFrame | None = None) -> Crawl:
     seq = position(F.col("page"), F.lit(0))
     per_host = found.groupBy(F.col("host").alias("slug")).agg(
         F.max("views").alias("views"), F.min(seq).alias("seq")
     )
+    if stored is not None:
+        before = stored.select("slug", F.col("views").alias("_before"))
+        per_host = per_host.join(before, "slug", "left").withColumn("views", F.greatest("views", "_before"))
     slug = F.col("page_id").cast("string").alias("slug")
     artist_slug = F.col("host").alias("artist_slug")
     views_text = F.col("views").cast("string").alias("views_text")

@@ -13,7 +13,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantiga.operators import checks, delta, report, upsert
+from cantiga.operators import checks, delta, ledger, report, upsert
 from cantiga.operators.language import detect_language
 from cantiga.operators.rules import exclude_keywords, within_length
 from cantiga.operators.skew import BROADCAST_ROWS, lookup_join, small
@@ -41,6 +41,8 @@ class RunResult:
     lyrics: DataFrame
     report: DataFrame
     quarantine: DataFrame
+    # What became of every listed artist and song and of every page, one row each.
+    outcomes: DataFrame
 
 
 def process_artists(
@@ -109,19 +111,19 @@ def texts_of(crawl: Crawl, pages: DataFrame, limit: int = BROADCAST_ROWS) -> Dat
     return texts.join(F.broadcast(pages) if small(pages, limit) else pages, "page")
 
 
-def process_lyrics(
+def judge_lyrics(
     crawl: Crawl,
     songs: DataFrame,
     detector: Detector,
     rules: LyricRules | None = None,
     limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The songs whose page holds lyrics to keep, with their views and page.
+    """The songs whose page holds lyrics that keep the rules, with views, page, and ``kept``.
 
-    Gives the columns of ``songs`` with ``views`` and ``page``; the text stays in the
-    crawl and is fetched by ``page`` later. Rules are applied once, and only the texts of
-    listed songs are scored. A song that is stored already has no place in a list of this
-    crawl: its place is its own page.
+    ``kept`` says whether the language is the one asked for. The text stays in the crawl and
+    is fetched by ``page`` later. Rules are applied once, and only the texts of listed songs
+    are scored. A song that is stored already has no place in a list of this crawl: its place
+    is its own page.
     """
     keys = ["artist_slug", "slug"]
     wanted = crawl.lyrics.where(F.col("content").isNotNull() & F.col("views").isNotNull())
@@ -138,8 +140,19 @@ def process_lyrics(
     listed = materialize(listed, "listed-songs")
     chosen = texts_of(crawl, listed.select("page"), limit)
     spoken = detect_language(chosen, detector.profile, detector.langs, "page", "content")
-    kept = spoken.where(F.col("lang") == detector.target).select("page")
-    return listed.join(kept, "page", "left_semi")
+    kept = spoken.where(F.col("lang") == detector.target).select("page", F.lit(True).alias("kept"))
+    return listed.join(kept, "page", "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+
+
+def process_lyrics(
+    crawl: Crawl,
+    songs: DataFrame,
+    detector: Detector,
+    rules: LyricRules | None = None,
+    limit: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The songs whose page holds lyrics to keep: the columns of ``songs`` with ``views`` and ``page``."""
+    return judge_lyrics(crawl, songs, detector, rules, limit).where("kept").drop("kept")
 
 
 def _run(
@@ -151,12 +164,18 @@ def _run(
     full: bool,
     rules: LyricRules | None,
     retry_missing_lyrics: bool,
+    partial: bool = False,
 ) -> RunResult | None:
-    """Stage and publish; None when the batch is known or the crawl lists no artist."""
-    if store.has_batch(batch_id) or crawl.artists.isEmpty():
+    """Stage and publish; None when the batch is known or the crawl lists no artist.
+
+    A ``partial`` crawl may list none if some are stored.
+    """
+    if store.has_batch(batch_id):
         return None
     staged = store.begin()
     before = store.tables(staged.base)
+    if crawl.artists.isEmpty() and not (partial and not before["artists"].isEmpty()):
+        return None
 
     incoming, slugs, unreadable = process_artists(crawl, before["artists"], full)
     if rules is not None:
@@ -183,7 +202,8 @@ def _run(
         candidates = candidates.unionByName(
             missing_lyrics(processed, before["songs"], before["lyrics"])
         )
-    chosen = materialize(process_lyrics(crawl, candidates, detector, rules), "kept-songs")
+    judged = materialize(judge_lyrics(crawl, candidates, detector, rules), "judged-songs")
+    chosen = judged.where("kept").drop("kept")
     kept = chosen.where(F.col("id").isNull()).drop("id")
     kept = materialize(
         upsert.assign_ids(kept, ["artist_id", "slug"], before["songs"]), "new-songs"
@@ -233,7 +253,10 @@ def _run(
             "lyrics_kept": (_per_artist(kept, owner), "artist", F.col("rows")),
         }
     )
-    return RunResult(version, lyrics, counted, quarantine)
+    outcomes = ledger.artist_outcomes(crawl, before["artists"], incoming, processed).unionByName(
+        ledger.song_outcomes(crawl, before["songs"], processed, found, judged)
+    )
+    return RunResult(version, lyrics, counted, quarantine, outcomes)
 
 
 def _per_artist(songs: DataFrame, owner: DataFrame) -> DataFrame:
@@ -263,9 +286,14 @@ def run_incremental(
     batch_ts: datetime,
     rules: LyricRules | None = None,
     retry_missing_lyrics: bool = False,
+    partial: bool = False,
 ) -> RunResult | None:
-    """Add new artists, refresh the views of stored ones, and add new songs."""
-    return _run(store, crawl, detector, batch_id, batch_ts, False, rules, retry_missing_lyrics)
+    """Add new artists, refresh the views of stored ones, and add new songs.
+
+    With ``partial`` the crawl is only what came since the last run: it need not list an
+    artist when there are stored ones.
+    """
+    return _run(store, crawl, detector, batch_id, batch_ts, False, rules, retry_missing_lyrics, partial)
 
 
 def create_release(

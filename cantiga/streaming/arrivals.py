@@ -1,8 +1,14 @@
 """Incremental runs over page files as they arrive.
 
 What a page holds may need another page: a song belongs to the artist that lists it, and
-either may come first. The parsed rows of every arrival are therefore kept, without HTML, and
-each run sees the latest copy of all pages that came so far.
+either may come first. After each run, what is still unmatched is kept: links to artists that
+are not stored, list entries without a stored song, song pages that no list names, each in
+its latest copy. The next run reads that and its own rows. What was matched is in the
+catalogue, so the rows a run reads do not grow with the batches before it.
+
+The parsed rows of every arrival are kept too, without HTML, for a catalogue that is
+restored: a run then goes on from what waited after the newest batch that the restored
+version goes back to, and reads the arrivals since.
 """
 
 from __future__ import annotations
@@ -30,24 +36,45 @@ _ARRIVALS = T.StructType(
 )
 
 
-def keep_arrival(store: CatalogueStore, batch_id: str, pages: DataFrame, crawler: Crawler) -> DataFrame:
-    """Write the parsed rows of a batch beside the catalogue; gives those of all batches.
+def keep_arrival(store: CatalogueStore, batch_id: str, pages: DataFrame, crawler: Crawler) -> int:
+    """Write the parsed rows of a batch beside the catalogue; gives the number of the arrival.
 
     A batch is listed when its folder is complete, once: one that is played again keeps
     its place among the others.
     """
     spark, root = store.spark, f"{store.root}/arrivals"
     listed = read_rows(spark, f"{root}/manifest", _ARRIVALS)
-    if listed.where(F.col("batch_id") == batch_id).isEmpty():
-        arrival = (listed.agg(F.max("arrival")).first()[0] or 0) + 1
-        folder = f"data/{uuid.uuid4().hex}"
-        crawler.parse(pages).withColumn("page", page_of(arrival)).write.parquet(f"{root}/{folder}")
-        add_row(spark, f"{root}/manifest", _ARRIVALS, (arrival, batch_id, folder))
-        listed = read_rows(spark, f"{root}/manifest", _ARRIVALS)
-    folders = [r["folder"] for r in listed.orderBy("arrival").select("folder").collect()]
+    known = listed.where(F.col("batch_id") == batch_id).agg(F.min("arrival")).first()[0]
+    if known is not None:
+        return known
+    arrival = (listed.agg(F.max("arrival")).first()[0] or 0) + 1
+    folder = f"data/{uuid.uuid4().hex}"
+    crawler.parse(pages).withColumn("page", page_of(arrival)).write.parquet(f"{root}/{folder}")
+    add_row(spark, f"{root}/manifest", _ARRIVALS, (arrival, batch_id, folder))
+    return arrival
+
+
+def rows_to_read(store: CatalogueStore, arrival: int) -> DataFrame:
+    """What waited after the newest run that still counts, and the arrivals since, up to ``arrival``."""
+    spark, root = store.spark, f"{store.root}/arrivals"
+    kept = read_rows(spark, f"{root}/waiting", _ARRIVALS).where(F.col("arrival") < arrival)
+    since, folders = 0, []
+    for row in kept.orderBy(F.desc("arrival")).collect():
+        if store.has_batch(row["batch_id"]):
+            since, folders = row["arrival"], [row["folder"]]
+            break
+    listed = read_rows(spark, f"{root}/manifest", _ARRIVALS).where(F.col("arrival").between(since + 1, arrival))
+    folders += [r["folder"] for r in listed.orderBy("arrival").select("folder").collect()]
     return spark.read.parquet(*(f"{root}/{folder}" for folder in folders))
 
 
+def keep_waiting(store: CatalogueStore, arrival: int, batch_id: str, rows: DataFrame) -> None:
+    """Write what waits after a run; it is listed when it is complete."""
+    folder = f"data/{uuid.uuid4().hex}"
+    rows.write.parquet(f"{store.root}/arrivals/{folder}")
+    add_row(store.spark, f"{store.root}/arrivals/waiting", _ARRIVALS, (arrival, batch_id, folder))
+
+
 def run_arrivals(
     spark: SparkSession,
     pages_dir: str,
@@ -64,7 +91,7 @@ def run_arrivals(
 
     The stream's checkpoint remembers the files. A batch that is played again after a
     failure finds its id in the catalogue's manifest and does nothing. How the files are
-    dealt to batches changes when a row is added, not whether it is. Runs without an
+    dealt to batches changes when a row is added, not whether it is. Runs before the first
     artist list publish nothing, and their pages are kept for later.
     """
 
@@ -74,9 +101,15 @@ def run_arrivals(
         batch_id = f"{stream}/{number}"
         if store.has_batch(batch_id):
             return
-        crawl = crawler.assemble(keep_arrival(store, batch_id, pages, crawler))
-        result = run_incremental(store, crawl, detector, batch_id, batch_ts, rules)
-        if result is not None and on_result is not None:
+        arrival = keep_arrival(store, batch_id, pages, crawler)
+        parsed = rows_to_read(store, arrival)
+        crawl = crawler.assemble(parsed, store.table("artists"))
+        result = run_incremental(store, crawl, detector, batch_id, batch_ts, rules, partial=True)
+        if result is None:
+            return
+        tables = store.tables(store.version(result.version))
+        keep_waiting(store, arrival, batch_id, crawler.waiting(parsed, tables["artists"], tables["songs"]))
+        if on_result is not None:
             on_result(result)
 
     reader = spark.readStream.schema(PAGES)

@@ -6,7 +6,7 @@ from conftest import DAY_1, DAY_2
 
 from cantiga.operators.language import lang_profile
 from cantiga.plans.crawl import SitePages, before_all, crawl_site
-from cantiga.operators import report
+from cantiga.operators import ledger, report
 from cantiga.plans.runs import (
     Detector,
     create_release,
@@ -165,7 +165,7 @@ def test_full_then_incremental_run(spark, crawls, detector, first_run, loaded, t
         "- **Bia** (2 songs)\n- **Eva** (1 songs)\n"
     )
     folder = tmp_path / "out" / f"release-20240308-{second.version}"
-    assert sorted(p.name for p in (folder / "texts").iterdir()) == [
+    assert sorted(p.name for p in (folder / "texts").glob("*/??/*.txt")) == [
         "Bia - B1.txt", "Bia - B3.txt", "Eva - E1.txt",
     ]
     assert next((folder / "notes").glob("*.txt")).read_text() == notes
@@ -264,6 +264,91 @@ def test_pages_that_arrive_apart_from_their_list(spark, pages, detector, store,
     assert store.manifest().count() == 1
 
 
+def test_a_run_reads_what_waits_and_its_own_rows(spark, pages, detector, store, tmp_path):
+    """What was matched is not read again, however many batches came before."""
+    read = []
+
+    class Counting(SitePages):
+        def assemble(self, parsed, stored=None):
+            read.append(parsed.count())
+            return super().assemble(parsed, stored)
+
+    arrivals = str(tmp_path / "pages")
+    for i in range(6):
+        one = [index((f"a{i}", f"A{i}")), artist(f"a{i}", "10", f"s{i}"), song(f"a{i}", f"s{i}", PT)]
+        one[0] = (f"http://h/list?page={i}", one[0][1])
+        pages(*one).coalesce(1).write.mode("append").parquet(arrivals)
+        run_arrivals(spark, arrivals, str(tmp_path / "stream"), store, Counting(LAYOUT), detector, DAY_1)
+    assert read == [3] * 6 and len(lyrics_of(store)) == 6
+
+
+def test_what_waits_is_matched_by_later_pages(spark, pages, detector, store, tmp_path):
+    arrivals = str(tmp_path / "pages")
+    read = []
+
+    class Counting(SitePages):
+        def assemble(self, parsed, stored=None):
+            read.append(sorted(r["path"] for r in parsed.select("path").collect()))
+            return super().assemble(parsed, stored)
+
+    def arrive(*part):
+        pages(*part).coalesce(1).write.mode("append").parquet(arrivals)
+        run_arrivals(spark, arrivals, str(tmp_path / "stream"), store, Counting(LAYOUT), detector, DAY_1)
+
+    arrive(index(("ana", "Ana"), ("bia", "Bia")), artist("ana", "5", "s1", "s2"), song("ana", "s1", PT), song("bia", "b1", PT))
+    assert lyrics_of(store) == [("ana", "s1", 0, PT)]
+    # A page that was judged waits for a new copy, a page without a list for its list.
+    arrive(song("ana", "s2", EN))
+    assert read[-1] == ["ana", "ana/s2", "bia/b1", "http://h/list"]
+    arrive(artist("bia", "7", "b1"))
+    assert read[-1] == ["ana", "bia", "bia/b1", "http://h/list"]
+    arrive(song("ana", "s2", PT))
+    assert read[-1] == ["ana", "ana/s2"]
+    assert [r[:2] for r in lyrics_of(store)] == [("ana", "s1"), ("ana", "s2"), ("bia", "b1")]
+    arrive(artist("ana", "9", "s1"))
+    assert read[-1] == ["ana"] and store.table("artists").where("slug = 'ana' and views = 9").count() == 1
+
+
+def test_arrivals_after_a_restore_are_read_again(spark, pages, detector, store, tmp_path):
+    arrivals, backup = str(tmp_path / "pages"), str(tmp_path / "backups")
+
+    def arrive(*part):
+        pages(*part).coalesce(1).write.mode("append").parquet(arrivals)
+        run_arrivals(spark, arrivals, str(tmp_path / "stream"), store, SitePages(LAYOUT), detector, DAY_1)
+
+    arrive(index(("ana", "Ana")), artist("ana", "5", "s1", "s2"), song("ana", "s1", PT))
+    create_backup(store, backup, DAY_1)
+    arrive(song("ana", "s2", PT))
+    assert len(lyrics_of(store)) == 2
+    restore_newest(store, backup, DAY_2)
+    assert len(lyrics_of(store)) == 1
+    arrive(index(("ana", "Ana")))
+    assert [r[:2] for r in lyrics_of(store)] == [("ana", "s1"), ("ana", "s2")]
+
+
+def test_everything_a_crawl_names_has_one_outcome(spark, pages, detector, store):
+    rules = spark.createDataFrame([("artists", "rei"), ("titles", "t1"), ("lyrics", "proibido")], RULES)
+    crawl = crawl_site(
+        pages(
+            *FIRST, ("http://h/list?page=2", index(("rei", "O Rei"), ("nil", "Nil"))[1]), artist("rei", "5", "r1"), artist("zoe", "5", "z1"),
+            song("bia", "x9", PT), song("rei", "r1", PT), song("ana", "s4", None),
+        ),
+        LAYOUT,
+    )
+    result = run_full(store, crawl, detector, "one", DAY_1, LyricRules(rules, "pt", 1, 4000))
+    found = sorted(map(tuple, result.outcomes.collect()), key=repr)
+    keys = [r[:2] for r in found]
+    assert len(keys) == len(set(keys))
+    by = {r[1]: r[2] for r in found}
+    assert {k: by[k] for k in ("rei", "nil", "zoe", "caio", "dora")} == {
+        "rei": "rule", "nil": "no_page", "zoe": "unlisted", "caio": "no_count", "dora": "bad_number",
+    }
+    assert by["bia/x9"] == "orphan" and by["rei/r1"] == "unknown_artist" and by["zoe/z1"] == "unknown_artist"
+    listed = {f"{r['artist_slug']}/{r['slug']}" for r in crawl.songs.collect()} | {f"{r['artist_slug']}/{r['slug']}" for r in crawl.lyrics.collect()}
+    assert {k for k in by if "/" in k} == listed
+    assert ledger.losses(result.outcomes).count() == sum(v not in ("stored", "known") for v in by.values())
+
+
 def test_large_page_numbers_and_long_lists(spark, detector, store):
     items = [index(("ana", "Ana")), artist("ana", "7", *[f"s{i}" for i in range(30)]), song("ana", "s29", PT)]
     table = spark.createDataFrame([((1 << 44) + i, *item) for i, item in enumerate(items)], PAGES)
