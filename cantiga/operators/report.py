@@ -161,3 +161,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def row_changes(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """``added, changed, removed``: how many rows differ, by a unique key and a digest of all columns."""
+
+    def digests(df: DataFrame, name: str) -> DataFrame:
+        nulls = [F.col(c).isNull() for c in df.columns]
+        return df.select(key, F.xxhash64(*df.columns, *nulls).alias(name))
+
+    both = digests(before, "old").join(digests(after, "new"), key, "full_outer")
+    return both.agg(
+        F.count_if(F.col("old").isNull()).alias("added"),
+        F.count_if(F.col("old") != F.col("new")).alias("changed"),
+        F.count_if(F.col("new").isNull()).alias("removed"),
+    )

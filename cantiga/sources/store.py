@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cantiga.operators.report import table_counts
+from cantiga.operators.report import row_changes, table_counts
 from cantiga.operators.skew import lookup_join
 from cantiga.schemas import TABLES
 
@@ -45,6 +45,8 @@ _BACKUPS = T.StructType(
         T.StructField("seq", T.LongType()),
         T.StructField("version", T.LongType()),
         T.StructField("committed_at", T.TimestampNTZType()),
+        # The folders under the backup root that make up each table.
+        T.StructField("tables", T.MapType(T.StringType(), T.ArrayType(T.StringType()))),
     ]
 )
 
@@ -212,17 +214,29 @@ def backups(spark: SparkSession, backup_root: str) -> DataFrame:
 def create_backup(
     store: CatalogueStore, backup_root: str, batch_ts: datetime, version: Row | None = None
 ) -> str:
-    """Copy a version's tables to ``v=<date>-<seq>`` and list the copy when it is complete."""
+    """Back up a version's tables; gives the name of the backup, ``v=<date>-<seq>``.
+
+    A backup is a list of folders. The folders of a catalogue never change, so only those
+    that no listed backup has are copied, and the list is added when all are there.
+    """
     spark, backup_root = store.spark, backup_root.rstrip("/")
     stamp = batch_ts.strftime("%Y%m%d")
-    today = backups(spark, backup_root).where(F.col("stamp") == stamp)
-    seq = (today.agg(F.max("seq")).first()[0] or 0) + 1
+    listed = backups(spark, backup_root)
+    seq = (listed.where(F.col("stamp") == stamp).agg(F.max("seq")).first()[0] or 0) + 1
     name = f"v={stamp}-{seq}-{uuid.uuid4().hex[:8]}"
     row = version or store.current()
-    for table, df in store.tables(row).items():
-        df.write.parquet(f"{backup_root}/{name}/{table}")
+    tables = {table: list(row["tables"][table]) if row else [] for table in TABLES}
+    held = listed.select(F.explode(F.map_values("tables")).alias("f")).select(F.explode("f").alias("folder"))
+    wanted = [folder for folders in tables.values() for folder in folders]
+    there = {r["folder"] for r in held.where(F.col("folder").isin(wanted)).distinct().collect()}
+    for table, folders in tables.items():
+        for folder in folders:
+            if folder not in there:
+                # A copy that was broken off is written again.
+                copy = spark.read.schema(TABLES[table]).parquet(f"{store.root}/{folder}")
+                copy.write.mode("overwrite").parquet(f"{backup_root}/{folder}")
     origin = row["version"] if row else None
-    add_row(spark, f"{backup_root}/manifest", _BACKUPS, (name, stamp, seq, origin, batch_ts))
+    add_row(spark, f"{backup_root}/manifest", _BACKUPS, (name, stamp, seq, origin, batch_ts, tables))
     return name
 
 
@@ -245,7 +259,8 @@ def restore_backup(
     staged = store.begin()
     staged.origin = listed["version"]
     for table, schema in TABLES.items():
-        copy = spark.read.schema(schema).parquet(f"{backup_root}/{name}/{table}")
+        paths = [f"{backup_root}/{folder}" for folder in listed["tables"][table]]
+        copy = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
         store.stage(staged, table, copy)
     return store.publish(staged, batch_ts, f"restore {name}")
 
@@ -256,6 +271,25 @@ def restore_newest(store: CatalogueStore, backup_root: str, batch_ts: datetime)
     return None if name is None else restore_backup(store, backup_root, name, batch_ts)
 
 
+def version_diff(store: CatalogueStore, before: int, after: int) -> DataFrame:
+    """``table_name, added, changed, removed``: rows that differ between two versions, by id.
+
+    Folders that both versions list hold equal rows and are not read. A version that does
+    not exist is an error.
+    """
+    rows = [store.version(number) for number in (before, after)]
+    if None in rows:
+        raise ValueError(f"no version {before if rows[0] is None else after}")
+    found = None
+    for name in TABLES:
+        lists = [list(row["tables"][name]) for row in rows]
+        own = [[folder for folder in a if folder not in b] for a, b in (lists, lists[::-1])]
+        counted = row_changes(*(store._read(name, folders) for folders in own), "id")
+        counted = counted.select(F.lit(name).alias("table_name"), "*")
+        found = counted if found is None else found.unionByName(counted)
+    return found
+
+
 def lookup(table: DataFrame, keys: DataFrame, key: str, spread: str = "id") -> DataFrame:
     """Rows of a table for a table of keys; a missing key gives no row.
 

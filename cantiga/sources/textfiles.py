@@ -1,26 +1,37 @@
-"""Release files: one text file per song, and compressed bundles by letter."""
+"""Release files: one text file per song, and compressed bundles by letter.
+
+    path/<token>/<bucket>/<file name>    one folder per writing, 256 buckets by hash
+    path/manifest/                       one row per complete writing
+
+A writing goes to a folder of its own and is listed when all tasks are done. Nothing is moved
+or deleted: until then, and if it breaks off, the one before is the release.
+"""
 
 from __future__ import annotations
 
 import sys
 import uuid
+import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+_WRITINGS = "token string, written_at timestamp"
 
 
-class SongTextWriter(DataSourceWriter):
-    """Tasks write to a staging folder; the driver publishes it with one rename.
+class SongTextWriter(DataSourceArrowWriter):
+    """Tasks write batches of files into the buckets of a new folder.
 
     File names are unique in a release, so a task that runs again writes the same files
     over its own.
     """
 
-    def __init__(self, path: str, overwrite: bool):
+    def __init__(self, path: str):
         self.path = path.rstrip("/")
-        self.overwrite = overwrite
-        self.staging = f"{self.path}.staging-{uuid.uuid4().hex}"
 
     @staticmethod
     def _open(path: str):
@@ -30,52 +41,63 @@ class SongTextWriter(DataSourceWriter):
             return fs.FileSystem.from_uri(path)
         return fs.LocalFileSystem(), path
 
-    def write(self, iterator) -> WriterCommitMessage:
-        filesystem, staging = self._open(self.staging)
-        filesystem.create_dir(staging, recursive=True)
-        for row in iterator:
-            with filesystem.open_output_stream(f"{staging}/{row.filename}") as out:
-                out.write(row.body.encode("utf-8"))
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        filesystem, folder = self._open(self.path)
+        made: set[str] = set()
+        for batch in iterator:
+            names, bodies = (batch.column(c).cast(pa.binary()).to_pylist() for c in ("filename", "body"))
+            for name, body in zip(names, bodies, strict=True):
+                bucket = f"{folder}/{zlib.crc32(name) & 255:02x}"
+                if bucket not in made:
+                    filesystem.create_dir(bucket, recursive=True)
+                    made.add(bucket)
+                with filesystem.open_output_stream(f"{bucket}/{name.decode()}") as out:
+                    out.write(body)
         return WriterCommitMessage()
 
     def commit(self, messages) -> None:
-        from pyarrow import fs
-
-        filesystem, staging = self._open(self.staging)
-        target = self._open(self.path)[1]
-        if filesystem.get_file_info(target).type != fs.FileType.NotFound:
-            if not self.overwrite:
-                self.abort(messages)
-                raise FileExistsError(f"{self.path} exists")
-            filesystem.delete_dir(target)
-        filesystem.create_dir(staging, recursive=True)
-        filesystem.move(staging, target)
+        filesystem, folder = self._open(self.path)
+        filesystem.create_dir(folder, recursive=True)
 
     def abort(self, messages) -> None:
         from pyarrow import fs
 
-        filesystem, staging = self._open(self.staging)
-        if filesystem.get_file_info(staging).type != fs.FileType.NotFound:
-            filesystem.delete_dir(staging)
+        filesystem, folder = self._open(self.path)
+        if filesystem.get_file_info(folder).type != fs.FileType.NotFound:
+            filesystem.delete_dir(folder)
 
 
 class SongTextSource(DataSource):
-    """``df.write.format("songtext")`` for columns ``filename`` and ``body``."""
+    """``df.write.format("songtext")`` for columns ``filename`` and ``body``, into a new folder."""
 
     @classmethod
     def name(cls) -> str:
         return "songtext"
 
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return SongTextWriter(self.options["path"], overwrite)
+    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+        return SongTextWriter(self.options["path"])
 
 
-def write_song_files(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One UTF-8 text file per row, in a folder all executors can write to."""
+def write_song_files(rows: DataFrame, path: str) -> str:
+    """One UTF-8 text file per row, in a folder all executors can write to; gives that folder."""
     # Executors get the writer itself and need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    rows.sparkSession.dataSource.register(SongTextSource)
-    rows.select("filename", "body").write.format("songtext").mode(mode).save(path)
+    spark, token = rows.sparkSession, uuid.uuid4().hex
+    spark.dataSource.register(SongTextSource)
+    folder = f"{path.rstrip('/')}/{token}"
+    rows.select("filename", "body").write.format("songtext").mode("append").save(folder)
+    listed = spark.range(1).select(F.lit(token).alias("token"), F.current_timestamp().alias("written_at"))
+    listed.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/manifest")
+    return folder
+
+
+def song_folder(spark: SparkSession, path: str) -> str | None:
+    """The folder of the newest complete writing; None when there is none."""
+    from cantiga.sources.store import read_rows
+
+    listed = read_rows(spark, f"{path.rstrip('/')}/manifest", _WRITINGS)
+    token = listed.agg(F.max_by("token", F.struct("written_at", "token"))).first()[0]
+    return None if token is None else f"{path.rstrip('/')}/{token}"
 
 
 def write_bundle(rows: DataFrame, path: str, max_records: int = 1_000_000) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from cantiga.operators import report
 from cantiga.schemas import ARTISTS, LYRICS, SONGS, TABLES
+from cantiga.sources import textfiles
 from cantiga.sources.store import (
     CatalogueStore,
     CommitConflict,
@@ -14,10 +15,11 @@ from cantiga.sources.store import (
     newest_backup,
     restore_backup,
     restore_newest,
+    version_diff,
 )
-from cantiga.sources.textfiles import read_bundle, write_bundle, write_song_files
+from cantiga.sources.textfiles import read_bundle, song_folder, write_bundle, write_song_files
 
-TEXT = "First line\nSecond line\n\nFourth line\n  last "
+TEXT = "Rain on the roof\nall night\n\nand a dry street\n  by noon "
 
 
 @pytest.fixture
@@ -125,25 +127,75 @@ def released(tables):
     return tables["lyrics"].selectExpr("song_id", "content", "song_id as seq")
 
 
-def test_song_files_keep_the_text(tables, tmp_path):
+def files_of(folder):
+    return {p.name: p.read_text(encoding="utf-8") for p in Path(folder).glob("*/*") if not p.name.startswith(".")}
+
+
+def test_song_files_keep_the_text(spark, tables, tmp_path):
     rows = report.release_rows(released(tables), tables["songs"], tables["artists"])
-    folder = tmp_path / "texts"
-    write_song_files(rows, str(folder))
-    assert sorted(p.name for p in folder.iterdir()) == ["Artist One - Song A.txt", "Artist Two - Song_B.txt"]
-    body = (folder / "Artist One - Song A.txt").read_text(encoding="utf-8")
+    path = str(tmp_path / "texts")
+    assert song_folder(spark, path) is None
+    first = write_song_files(rows, path)
+    assert song_folder(spark, path) == first
+    assert set(files_of(first)) == {"Artist One - Song A.txt", "Artist Two - Song_B.txt"}
+    body = files_of(first)["Artist One - Song A.txt"]
     assert body == "Song A\nArtist One\n\n" + TEXT
     assert body.split("\n\n", 1)[1] == TEXT
-    write_song_files(rows.limit(1), str(folder))
-    assert len(list(folder.iterdir())) == 1
-    assert [p.name for p in tmp_path.iterdir()] == ["texts"]
+    second = write_song_files(rows.limit(1), path)
+    assert song_folder(spark, path) == second and len(files_of(second)) == 1 and len(files_of(first)) == 2
+    nothing = write_song_files(rows.limit(0), path)
+    assert song_folder(spark, path) == nothing and files_of(nothing) == {}
 
 
-def test_failed_export_leaves_nothing(spark, tables, tmp_path):
+def test_a_broken_export_leaves_the_release_before(spark, tables, tmp_path, monkeypatch):
     rows = report.release_rows(released(tables), tables["songs"], tables["artists"])
+    path = str(tmp_path / "texts")
+    first = write_song_files(rows, path)
     bad = rows.selectExpr("filename", "raise_error('boom') as body")
     with pytest.raises(Exception, match="boom"):
-        write_song_files(bad, str(tmp_path / "texts"))
-    assert list(tmp_path.iterdir()) == []
+        write_song_files(bad, path)
+    # The driver is lost when all files are written and before they are listed.
+    monkeypatch.setattr(textfiles.F, "current_timestamp", lambda: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        write_song_files(rows.limit(1), path)
+    assert song_folder(spark, path) == first and len(files_of(first)) == 2
+
+
+def data_files(root):
+    return {p for p in Path(root).rglob("*.parquet")}
+
+
+def test_a_backup_copies_only_new_folders(spark, store, tables, tmp_path):
+    root = str(tmp_path / "backups")
+    load(store, tables)
+    create_backup(store, root, DAY_1)
+    there = data_files(root)
+    again = create_backup(store, root, DAY_2)
+    assert data_files(root) == there and newest_backup(spark, root) == again
+    staged = store.begin()
+    store.stage_added(staged, "songs", tables["songs"].limit(0))
+    store.publish(staged, DAY_2, "more")
+    create_backup(store, root, DAY_2)
+    assert {p.parent.parent.name for p in data_files(root) - there} <= {"songs"}
+    before = contents(store)
+    store.publish(store.empty(), DAY_2, "clear")
+    restore_newest(store, root, DAY_2)
+    assert contents(store) == before
+
+
+def test_versions_are_compared_by_row(spark, store, tables):
+    load(store, tables)
+    first = store.current()["version"]
+    staged = store.begin()
+    changed = tables["artists"].where("id <> 2").withColumn("views", F.lit(None).cast("bigint"))
+    added = tables["artists"].where("id = 1").withColumn("id", F.lit(77).cast("bigint"))
+    store.stage(staged, "artists", changed.unionByName(added))
+    store.publish(staged, DAY_2, "more")
+    found = {r["table_name"]: tuple(r)[1:] for r in version_diff(store, first, first + 1).collect()}
+    n = tables["artists"].where("id <> 2").count()
+    assert found == {"artists": (1, n, tables["artists"].where("id = 2").count()), "songs": (0, 0, 0), "lyrics": (0, 0, 0)}
+    with pytest.raises(ValueError):
+        version_diff(store, first, 99)
 
 
 def test_same_file_name_keeps_the_last_song(spark, tables):
