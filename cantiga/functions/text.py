@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,8 +40,11 @@ COMMON_ENTITIES = [
     ("&middot;", "·"),
     ("&amp;", "&"),
 ]
-_NAMED_ENTITIES = json.dumps({"apos": "'"} | {n: chr(c) for n, c in name2codepoint.items()})
-_OTHER_ENTITY = "&(?!(?:lt|gt|quot|apos|nbsp|copy|middot|amp);)#?[0-9A-Za-z]+;"
+# Names that need their semicolon, and those that also stand without it.
+_CLOSED_ENTITIES = json.dumps({n[:-1]: text for n, text in html5.items() if n.endswith(";")})
+_OPEN_NAMES = {n: text for n, text in html5.items() if not n.endswith(";")}
+_OPEN_ENTITIES, _LONGEST_OPEN = json.dumps(_OPEN_NAMES), max(map(len, _OPEN_NAMES))
+_OTHER_ENTITY = "&(?!(?:lt|gt|quot|apos|nbsp|copy|middot|amp);)(?:#[0-9xX]|[A-Za-z])"
 
 
 def ws_trim(col: Column) -> Column:
@@ -104,25 +107,37 @@ def _code_point(number: Column) -> Column:
 
 
 def _unescape_piece(piece: Column) -> Column:
-    """Decode the one entity a piece may start with."""
-    names = F.from_json(F.lit(_NAMED_ENTITIES), "map<string,string>")
-    body = F.regexp_extract(piece, "^&(#?[0-9A-Za-z]+);", 1)
-    decimal = F.regexp_extract(body, "^#([0-9]{1,8})$", 1)
-    hexadecimal = F.regexp_extract(body, "^#[xX]([0-9A-Fa-f]{1,8})$", 1)
-    char = (
-        F.when(decimal != "", _code_point(decimal.try_cast("bigint")))
-        .when(hexadecimal != "", _code_point(F.conv(hexadecimal, 16, 10).try_cast("bigint")))
-        .when(body != "", F.try_element_at(names, body))
+    """Decode the one entity a piece may start with.
+
+    A name with its semicolon is looked up whole. Otherwise the longest beginning that stands
+    without one is decoded, and what follows it is text. Numbers may lack the semicolon too.
+    """
+    closed = F.from_json(F.lit(_CLOSED_ENTITIES), "map<string,string>")
+    open_ = F.from_json(F.lit(_OPEN_ENTITIES), "map<string,string>")
+    name = F.regexp_extract(piece, "^&([A-Za-z][0-9A-Za-z]*)", 1)
+    whole = F.try_element_at(closed, F.regexp_extract(piece, "^&([A-Za-z][0-9A-Za-z]*);", 1))
+    beginnings = F.transform(
+        F.sequence(F.lit(_LONGEST_OPEN), F.lit(2), F.lit(-1)),
+        lambda n: F.when(n <= F.length(name), F.struct(n.alias("n"), F.try_element_at(open_, F.substring(name, F.lit(1), n)).alias("text"))),
+    )
+    longest = F.get(F.filter(beginnings, lambda b: b["text"].isNotNull()), F.lit(0))
+    decimal = _code_point(F.regexp_extract(piece, "^&#([0-9]{1,8})(?![0-9])", 1).try_cast("bigint"))
+    digits = F.regexp_extract(piece, "^&#[xX]([0-9A-Fa-f]{1,8})(?![0-9A-Fa-f])", 1)
+    hexadecimal = _code_point(F.conv(F.nullif(digits, F.lit("")), 16, 10).try_cast("bigint"))
+    return (
+        F.when(decimal.isNotNull(), F.concat(decimal, F.regexp_replace(piece, "^&#[0-9]+;?", "")))
+        .when(hexadecimal.isNotNull(), F.concat(hexadecimal, F.regexp_replace(piece, "^&#[xX][0-9A-Fa-f]+;?", "")))
+        .when(whole.isNotNull(), F.concat(whole, F.regexp_replace(piece, "^&[0-9A-Za-z]+;", "")))
+        .when(longest.isNotNull(), F.concat(longest["text"], F.substring(piece, longest["n"] + 2, F.length(piece))))
+        .otherwise(piece)
     )
-    rest = F.regexp_replace(piece, "^&#?[0-9A-Za-z]+;", "")
-    return F.when(char.isNull(), piece).otherwise(F.concat(char, rest))
 
 
 def unescape(col: Column) -> Column:
     """Decode HTML entities.
 
-    Text with common entities only takes the short way of plain replacements. Other
-    named or numeric entities send the text through one pass over its pieces.
+    Text with common entities only takes the short way of plain replacements. Other names,
+    names without their semicolon and numbers send the text through one pass over its pieces.
     """
     pieces = F.transform(F.split(col, "(?=&)"), _unescape_piece)
     return F.when(col.rlike(_OTHER_ENTITY), F.array_join(pieces, "")).otherwise(
