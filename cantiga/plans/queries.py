@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from cantiga.functions import html as H
 from cantiga.functions import names as N
-from cantiga.functions.text import clean_for_detection, dotted_int
+from cantiga.functions.text import clean_for_detection, dotted_int, unescape
 from cantiga.operators import checks, delta, extract, language, report, rules, upsert
 from cantiga.plans.crawl import (
     ArticlePages,
@@ -25,7 +25,16 @@ from cantiga.plans.crawl import (
     crawl_site,
     extract_articles,
 )
-from cantiga.plans.runs import Detector, RunResult, create_release, run_full, run_incremental
+from cantiga.plans.runs import (
+    Detector,
+    RunResult,
+    create_release,
+    process_artists,
+    process_lyrics,
+    process_songs,
+    run_full,
+    run_incremental,
+)
 from cantiga.schemas import ARTISTS, LYRICS, RULES, SONGS, Selector, SiteLayout
 from cantiga.session import materialize, shared_folder, spread
 from cantiga.sources.pages import decode_pages, read_pages
@@ -34,8 +43,10 @@ from cantiga.sources.store import (
     create_backup,
     lookup,
     restore_newest,
+    version_diff as diff_of_versions,
 )
-from cantiga.sources.textfiles import read_bundle, write_bundle, write_song_files
+from cantiga.sources.rules import LyricRules, read_keywords
+from cantiga.sources.textfiles import read_bundle, song_folder, write_bundle, write_song_files
 from cantiga.streaming.arrivals import run_arrivals
 
 FIRST = datetime(2024, 1, 1)
@@ -157,6 +168,24 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     return documents.select("doc_id", clean_for_detection(F.col("text")).alias("cleaned"))
 
 
+# Entities with and without a use of their own for what follows.
+ENTITIES = [
+    "eacute", "copy", "not", "notit", "notin", "hellip", "AMP", "amp", "lt", "CounterClockwiseContourIntegral",
+    "fjlig", "nosuch", "#233", "#xE9", "#128", "reg", "szlig", "paraX", "Aacute", "times", "middot", "#x110000",
+]
+ENTITY_ENDS = [";", "", " ", "x", "=", "."]
+
+
+def decoded_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Headings with an entity put behind them, its semicolon there or not."""
+    pages = extract_articles(_pages(spark, sf)).select("page_id", F.replace("name", F.lit("&"), F.lit("+")).alias("name"))
+    entity = F.get(F.array(*map(F.lit, ENTITIES)), (F.col("page_id") % len(ENTITIES)).cast("int"))
+    turn = F.floor(F.col("page_id") / len(ENTITIES)) % len(ENTITY_ENDS)
+    end = F.get(F.array(*map(F.lit, ENTITY_ENDS)), turn.cast("int"))
+    text = F.concat("name", F.lit(" A&"), entity, end, F.lit("Z &amp;lt; &quot;"))
+    return pages.select("page_id", unescape(text).alias("decoded"))
+
+
 def _text_artists(spark: SparkSession, sf: str) -> DataFrame:
     return _table(spark, sf, "documents").select(
         F.col("text").alias("name"),
@@ -199,6 +228,16 @@ def exclude_listed_phrases(spark: SparkSession, sf: str) -> DataFrame:
     return kept.select("doc_id", "n_chars")
 
 
+def exclude_long_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with the way that takes lists of any length."""
+    headings = extract_articles(_pages(spark, sf)).select(
+        F.lit("lyrics").alias("scope"), F.col("name").alias("keyword")
+    )
+    listed = materialize(headings, "headings")
+    kept = rules.exclude_keywords(_documents(spark, sf), listed, "lyrics", "doc_id", "text", pattern_keywords=0)
+    return kept.select("doc_id", "n_chars")
+
+
 def length_bounds(spark: SparkSession, sf: str) -> DataFrame:
     documents = _table(spark, sf, "documents")
     return documents.where(rules.within_length(F.col("text"))).select("doc_id", "n_chars")
@@ -355,6 +394,28 @@ def key_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return lookup(_order_songs(spark, sf), wanted, "artist_id").select("id", "artist_id")
 
 
+def lookup_artist_by_slug(spark: SparkSession, sf: str) -> DataFrame:
+    """Artists by the names that orders were written by, in other cases and with one unknown."""
+    keys = _table(spark, sf, "customer").where("c_acctbal > 9000").select(F.lower("c_name").alias("slug"))
+    unknown = spark.createDataFrame([("nobody",)], "slug string")
+    return lookup(_customer_artists(spark, sf), keys.unionByName(unknown), "slug").select("id", "slug")
+
+
+def lookup_artist_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    keys = _table(spark, sf, "orders").where("o_orderstatus = 'P'").select(F.col("o_custkey").alias("id"))
+    return lookup(_customer_artists(spark, sf), keys, "id", "slug").select("id", "name")
+
+
+def lookup_song_by_id(spark: SparkSession, sf: str) -> DataFrame:
+    keys = _table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("id"))
+    return lookup(_order_songs(spark, sf), keys, "id", "slug").select("id", "artist_id")
+
+
+def lookup_lyrics_by_song(spark: SparkSession, sf: str) -> DataFrame:
+    keys = _table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("song_id"))
+    return lookup(_document_lyrics(spark, sf), keys, "song_id").select("song_id", F.md5("content").alias("digest"))
+
+
 # --- writes -----------------------------------------------------------------------
 
 
@@ -480,9 +541,9 @@ def release_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def song_files(spark: SparkSession, sf: str) -> DataFrame:
     """The release written as one text file per song, then read back."""
-    folder = _scratch(spark, "texts")
-    write_song_files(report.release_rows(*_release_tables(spark, sf)), folder)
-    files = spark.read.text(folder, wholetext=True)
+    path = _scratch(spark, "texts")
+    write_song_files(report.release_rows(*_release_tables(spark, sf)), path)
+    files = spark.read.option("recursiveFileLookup", True).text(song_folder(spark, path), wholetext=True)
     name = F.url_decode(F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1))
     return files.select(name.alias("filename"), F.md5("value").alias("digest"))
 
@@ -695,6 +756,102 @@ def restore_then_rerun(spark: SparkSession, sf: str) -> DataFrame:
     return _catalogue(store)
 
 
+def _lossy_site(spark: SparkSession, sf: str) -> DataFrame:
+    """The site with losses: lists, artist pages and lyric containers are gone on some languages."""
+    source = _pages(spark, sf).select(F.col("page_id").alias("source"), F.col("url").alias("from"))
+    site = _site_pages(spark, sf).withColumn("source", F.floor(F.col("page_id") / 100)).join(source, "source")
+    kind = F.when(F.col("page_id") % 100 == 0, "list").when(F.col("page_id") % 100 == 1, "artist").otherwise("song")
+    unlisted = F.col("from").contains("/es/") & F.col("from").contains("?")
+    gone = ((kind == "list") & unlisted) | ((kind == "artist") & F.col("from").contains("/de/"))
+    bare = (kind == "song") & F.col("from").contains("/fr/")
+    html = F.when(bare, F.replace("html", F.lit("lyric-original"), F.lit("other"))).otherwise(F.col("html"))
+    return site.where(~gone).select("page_id", "url", html.alias("html"))
+
+
+def run_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of every listed artist and song and of every page of a site with losses."""
+    pages = materialize(_lossy_site(spark, sf), "site-pages")
+    store = CatalogueStore(spark, _scratch(spark, "store"))
+    crawl = crawl_site(pages, SiteLayout(index_path="/artists/all"))
+    result = run_full(store, crawl, _detector(spark, sf), "site", FIRST)
+    return result.outcomes.select("level", "key", "outcome")
+
+
+RUN_RULES = [("artists", "net"), ("titles", "the"), ("titles", "de"), ("lyrics", "que la"), ("lyrics", "Del  Y")]
+RUN_LENGTHS = (150, 3000)
+
+
+def run_with_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """A full run under rules that are read from a file."""
+    path = _scratch(spark, "rules")
+    spark.createDataFrame(RUN_RULES, RULES).write.json(path)
+    listed = LyricRules(read_keywords(spark, path), TARGET, *RUN_LENGTHS)
+    store = CatalogueStore(spark, _scratch(spark, "store"))
+    run_full(store, crawl_articles(_pages(spark, sf)), _detector(spark, sf), "first", FIRST, listed)
+    return _catalogue(store)
+
+
+def init_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows per table after creating them, after a load, and after creating them again."""
+    store = CatalogueStore(spark, _scratch(spark, "store"))
+    store.init(FIRST)
+    created = store.counts().withColumnRenamed("n_rows", "created")
+    staged = store.begin()
+    store.stage(staged, "artists", _customer_artists(spark, sf))
+    store.publish(staged, FIRST, "load")
+    store.init(SECOND)
+    again = store.counts().withColumnRenamed("n_rows", "again")
+    return created.join(again, "table_name").withColumn("version", F.lit(store.current()["version"]))
+
+
+def empty_crawl(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions and results of a run that lists no artist, before and after one that does, and of a release of nothing."""
+    pages, detector = _pages(spark, sf), _detector(spark, sf)
+    store = CatalogueStore(spark, _scratch(spark, "store"))
+    nothing = crawl_articles(pages.where("url IS NULL"))
+    results = []
+    for name, crawl in (("empty", nothing), ("pages", crawl_articles(pages)), ("empty again", nothing)):
+        result = run_incremental(store, crawl, detector, name, FIRST)
+        results.append((name, result is not None, store.manifest().count()))
+    release = create_release(store, store.table("lyrics").limit(0), _scratch(spark, "release"), FIRST)
+    results.append(("release", release is not None, store.manifest().count()))
+    counted = store.counts().where("table_name = 'artists'").select(F.col("n_rows").alias("artists"))
+    return spark.createDataFrame(results, "step string, done boolean, versions bigint").crossJoin(F.broadcast(counted))
+
+
+def step_artists(spark: SparkSession, sf: str) -> DataFrame:
+    """The artists that an incremental run writes when the pages of plain ``http`` are stored."""
+    stored = _stored_hosts(spark, sf)
+    incoming, _, _ = process_artists(crawl_articles(_pages(spark, sf)), stored, full=False)
+    return incoming.select("slug", "name", "views")
+
+
+def _crawled_hosts(spark: SparkSession, sf: str) -> DataFrame:
+    empty = spark.createDataFrame([], ARTISTS)
+    return materialize(upsert.upsert_artists(empty, _hosts(spark, sf, False), FIRST), "hosts")
+
+
+def step_songs(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed songs that are not stored, when those of plain ``http`` are."""
+    crawl, artists = crawl_articles(_pages(spark, sf)), _crawled_hosts(spark, sf)
+    stored = _host_songs(spark, sf).where(_is_stored())
+    return process_songs(crawl, artists, stored).select("artist_slug", "slug", "name")
+
+
+def step_lyrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The new songs whose page is in the language to keep."""
+    crawl, artists = crawl_articles(_pages(spark, sf)), _crawled_hosts(spark, sf)
+    none = spark.createDataFrame([], SONGS)
+    listed = process_songs(crawl, artists, none).withColumn("id", F.lit(None).cast("bigint"))
+    kept = process_lyrics(crawl, listed, _detector(spark, sf))
+    return kept.select("artist_slug", "slug", "name", "views")
+
+
+def version_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """What the second of two runs changed in each table."""
+    store, result = _two_runs(spark, sf)
+    return diff_of_versions(store, result.version - 1, result.version)
+
 
 QUERIES = {
     f.__name__: f
@@ -749,5 +906,19 @@ QUERIES = {
         stream_incremental,
         stream_site,
         restore_then_rerun,
+        run_quarantine,
+        run_with_rules,
+        exclude_long_list,
+        decoded_entities,
+        init_tables,
+        empty_crawl,
+        step_artists,
+        step_songs,
+        step_lyrics,
+        lookup_artist_by_slug,
+        lookup_artist_by_id,
+        lookup_song_by_id,
+        lookup_lyrics_by_song,
+        version_diff,
     ]
 }
