@@ -19,6 +19,7 @@ import re
 import unicodedata
 import zlib
 from array import array
+from itertools import chain
 from string import punctuation
 
 import numpy as np
@@ -35,7 +36,9 @@ GROUP = 1024
 END_ID = 1
 # Words whose ids a worker remembers before it lets go of those not met since, and bytes of
 # text it looks at together.
-MEMORY = 250_000
+MEMORY = 600_000
+# Words of more pre-tokens than this are not remembered.
+JUNK = 3
 AT_ONCE = 1 << 20
 # Sequence numbers kept for a group; a group has far fewer pieces.
 _MOST_WINDOWS = 1 << 24
@@ -99,47 +102,53 @@ class WordTokenizer:
         return _pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        if max(len(self.known), len(self.parts)) > self.memory:
-            self.older = self.known, self.parts
-            self.known, self.parts = {}, {}
+        for kind, memory in enumerate((self.known, self.parts)):
+            if len(memory) > self.memory:
+                self.older[kind].clear()
+                self.older[kind].update(memory)
+                memory.clear()
         plain = [not any(s in t for s in self.special) for t in texts]
         # A letter and a combining mark (these start with one byte) may be one character in one case only.
         words = [(t.lower() if self.folds and b"\xcc" not in t else t).split() if p else [] for t, p in zip(texts, plain, strict=True)]
         known, older = self.known, self.older[0]
-        new = {w for ws in words for w in ws if w not in known}
+        new = set(chain.from_iterable(words)).difference(known)
         known.update((w, older[w]) for w in new if w in older)
-        self._learn([w for w in new if w not in older])
-        return [
+        junk = self._learn([w for w in new if w not in older])
+        found = [
             b"".join(map(known.__getitem__, ws)) if p else self.whole(t.decode("utf-8", "replace"))
             for t, ws, p in zip(texts, words, plain, strict=True)
         ]
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Cut each word into what can be asked for together, or leave it whole."""
-        split: dict[bytes, list[str]] = {}
-        together: set[str] = set()
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            core = text.rstrip(punctuation)
-            if self.cuts and _SETTLED.fullmatch(text):
-                split[word] = _PRETOKEN.findall(text.lower())
-                together.update(split[word])
-            # A letter whose lower case is more than letters would join with what follows.
-            elif core.lower().isalpha():
-                split[word] = [core, text[len(core) :]] if core != text else [core]
-                together.add(core)
-            else:
-                split[word] = [text]
+        for word in junk:
+            del known[word]
+        return found
+
+    def _learn(self, words: list[bytes]) -> list[bytes]:
+        """Cut each word into what can be asked for together, or leave it whole.
+
+        Gives the words of many pre-tokens, which are seldom met again and not remembered.
+        """
+        texts = [word.decode("utf-8", "replace") for word in words]
+        settled, cut = (_SETTLED.fullmatch if self.cuts else lambda t: None), _PRETOKEN.findall
+        split = [cut(t.lower()) if settled(t) else self._letters_apart(t) for t in texts]
         parts, older = self.parts, self.older[1]
-        new = {p for pieces in split.values() for p in pieces if p not in parts}
+        new = set(chain.from_iterable(split)).difference(parts)
         parts.update((p, older[p]) for p in new if p in older)
-        new = [p for p in new if p not in older]
-        asked = [p for p in new if p in together]
-        for at in range(0, len(asked), 4096):
-            self._ask_together(asked[at : at + 4096])
-        self._ask_each([p for p in new if p not in together])
-        for word, pieces in split.items():
-            self.known[word] = b"".join(map(parts.__getitem__, pieces))
+        new = sorted(p for p in new if p not in older)
+        # A letter whose lower case is more than letters would join with what follows.
+        together = [p for p in new if settled(p) or p.lower().isalpha()]
+        for at in range(0, len(together), 4096):
+            self._ask_together(together[at : at + 4096])
+        self._ask_each([p for p in new if p not in parts])
+        known, part = self.known, parts.__getitem__
+        for word, pieces in zip(words, split, strict=True):
+            known[word] = b"".join(map(part, pieces))
+        return [word for word, pieces in zip(words, split, strict=True) if len(pieces) > JUNK]
+
+    @staticmethod
+    def _letters_apart(text: str) -> list[str]:
+        """Letters and the ASCII marks behind them, where a word is that."""
+        core = text.rstrip(punctuation)
+        return [p for p in (core, text[len(core) :]) if p] if core.lower().isalpha() else [text]
 
     def _ask_together(self, words: list[str]) -> None:
         packed = self.whole(" ".join(words))
