@@ -38,10 +38,12 @@ from cantiga.session import materialize
 
 DEPTH = 5
 BLOCK_BYTES = 8 << 20
-# Grams whose probabilities are broadcast: 16 bytes each, 48 MB at the most.
+# Grams whose probabilities are broadcast: 16 bytes each and 12 for their places, 84 MB at the most.
 BROADCAST_GRAMS = 3_000_000
 # Grams that a task folds at a time.
 _FOLD = 1 << 20
+# Bytes of text that are scored at once.
+_SCORED = 1 << 18
 _END = b"\n"
 _NODES = 256
 # Contexts that are worked on at a time.
@@ -252,6 +254,45 @@ def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
     return counts.groupBy(key).applyInPandas(score, "gram bigint, log_p double")
 
 
+def _slot(codes: np.ndarray, bits: int) -> np.ndarray:
+    """A place among 2 ** ``bits`` for each gram: the leading bits of a product with an odd number."""
+    return ((codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class GramTable:
+    """Log probabilities by gram: open addressing, at most half full, looked up in whole arrays.
+
+    ``at`` holds the row number of the gram in each place, or -1. A gram lies in its own place
+    or in the first free one after it.
+    """
+
+    def __init__(self, codes: np.ndarray, log_p: np.ndarray) -> None:
+        self.codes, self.log_p = codes, log_p
+        self.bits = max(4, (2 * len(codes)).bit_length())
+        self.at = np.full(1 << self.bits, -1, dtype=np.int32)
+        waiting = np.arange(len(codes), dtype=np.int32)
+        place = _slot(codes, self.bits)
+        while len(waiting):
+            free = self.at[place] < 0
+            self.at[place[free]] = waiting[free]
+            # Of several that ask for one place, the last one written has it.
+            lost = self.at[place] != waiting
+            waiting, place = waiting[lost], (place[lost] + 1) & (len(self.at) - 1)
+
+    def find(self, codes: np.ndarray) -> np.ndarray:
+        """The log probability of each gram; all must be there."""
+        place = _slot(codes, self.bits)
+        row = self.at[place]
+        waiting = np.flatnonzero((row < 0) | (self.codes[row] != codes))
+        while len(waiting):
+            if (row[waiting] < 0).any():
+                raise ValueError("a gram without a probability: the texts changed between the passes")
+            place[waiting] = (place[waiting] + 1) & (len(self.at) - 1)
+            row[waiting] = self.at[place[waiting]]
+            waiting = waiting[(row[waiting] < 0) | (self.codes[row[waiting]] != codes[waiting])]
+        return self.log_p[row]
+
+
 def _numbered(block_bytes: int):
     """Adds ``block`` to batches of id, held_out and text: the scan's partition and a piece of it.
 
@@ -310,6 +351,22 @@ class _GramCounts:
         return out
 
 
+def _together(texts: pd.Series) -> Iterator[tuple[int, int]]:
+    """Places of neighbouring texts that are scored at once: ``_SCORED`` bytes, or one longer text."""
+    first = size = 0
+    for at, text in enumerate(texts):
+        size += len(text or b"")
+        if size >= _SCORED or at + 1 == len(texts):
+            yield first, at + 1
+            first, size = at + 1, 0
+
+
+def _sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Sums of neighbouring values, so many at a time; no length is 0."""
+    ends = np.cumsum(lengths)
+    return np.array([values[end - n : end].sum() for end, n in zip(ends, lengths, strict=True)])
+
+
 _ASKED = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("gram", pa.int64()), ("n", pa.int64())])
 
 
@@ -397,8 +454,8 @@ def score_texts(
     answers = words.select("block", "word", F.col("n").cast("double").alias("value"))
     spread = None
     if gram_counts.count() <= broadcast_grams:
-        known = chances.toArrow().sort_by("gram")
-        spread = documents.sparkSession.sparkContext.broadcast((known["gram"].to_numpy(), known["log_p"].to_numpy()))
+        known = chances.toArrow()
+        spread = documents.sparkSession.sparkContext.broadcast(GramTable(known["gram"].to_numpy(), known["log_p"].to_numpy()))
     else:
         wanted = _asked(rows, depth, block_bytes, False, True).where("gram is not null").select("block", "gram")
         found = materialize(wanted, "asked-grams").join(chances, "gram")
@@ -410,30 +467,26 @@ def score_texts(
         if spread is None:
             gram = told["gram"].to_numpy()
             is_word = np.isnan(gram.astype(float))
-            codes, chance = gram[~is_word].astype(np.int64), value[~is_word]
+            table = GramTable(gram[~is_word].astype(np.int64), value[~is_word])
             value, word = value[is_word], word[is_word]
-            order = np.argsort(codes)
-            codes, chance = codes[order], chance[order]
         else:
-            codes, chance = spread.value
+            table = spread.value
         counts = dict(zip(word, value, strict=True))
-        out = []
-        for doc_id, is_held, text in zip(docs["doc_id"], docs["held_out"], docs["text"], strict=True):
-            own, coded = stream(text)
-            own.append(b"")
-            c = np.fromiter(map(counts.__getitem__, own), dtype=float, count=len(own))
-            code = grams([coded], depth)[0]
-            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
-            if (codes[at] != code).any():
-                raise ValueError("the scan's splits changed between the passes")
-            natural = float(chance[at].sum())
-            out.append(
-                (
-                    None if pd.isna(doc_id) else int(doc_id), bool(is_held), len(own), int((c > 0).sum()), total,
-                    float(np.log10((c + 1) / below).sum()), natural / math.log(10), -natural / _LN2 / len(coded),
-                )
-            )
-        return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+        out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score", "bits_per_byte")}
+        for first, last in _together(docs["text"]):
+            streams = [stream(text) for text in docs["text"].iloc[first:last]]
+            tokens = [[*own, b""] for own, _ in streams]
+            codes, lengths = grams([coded for _, coded in streams], depth)
+            natural = _sums(table.find(codes), lengths)
+            sizes = np.array([len(own) for own in tokens])
+            c = np.fromiter((counts[w] for own in tokens for w in own), dtype=float, count=sizes.sum())
+            out["n_tokens"].append(sizes)
+            out["n_known"].append(_sums(c > 0, sizes))
+            out["base_score"].append(_sums(np.log10((c + 1) / below), sizes))
+            out["score"].append(natural / math.log(10))
+            out["bits_per_byte"].append(-natural / _LN2 / lengths)
+        whole = {name: np.concatenate(parts) if parts else [] for name, parts in out.items()}
+        return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"], "train_tokens": total, **whole})[names]
 
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
     schema = (
