@@ -12,10 +12,10 @@ w(s) times the estimate at s, and 1 - w(s) times what the longer context says.
 
 What is learned are counts of (context, byte) grams, folded from the longest contexts to the
 empty one. A group of contexts that share their last two bytes is bounded by the alphabet and
-not by the corpus, its deepest contexts are worked on ``_CONTEXTS`` at a time, and the driver
-sees one row per byte.
+not by the corpus; one of more than ``PIECE_GRAMS`` grams is cut by its third byte from the end.
+Deepest contexts are worked on ``_CONTEXTS`` at a time, and the driver sees one row per byte.
 
-The corpus is read in blocks of about ``BLOCK_BYTES`` of text. Each block asks once for the
+The corpus is written in blocks of about ``BLOCK_BYTES`` of text. Each block asks once for the
 distinct words it holds, and gets their counts back with its texts. Grams repeat far more
 than words: a task asks for its distinct ones, and while all of them are at most
 ``BROADCAST_GRAMS`` their probabilities are broadcast. Beyond, blocks ask for grams as they
@@ -40,6 +40,8 @@ DEPTH = 5
 BLOCK_BYTES = 8 << 20
 # Grams whose probabilities are broadcast: 16 bytes each and 12 for their places, 84 MB at the most.
 BROADCAST_GRAMS = 3_000_000
+# Grams of a group of contexts from which it is cut into pieces.
+PIECE_GRAMS = 1 << 12
 # Grams that a task folds at a time.
 _FOLD = 1 << 20
 # Bytes of text that are scored at once.
@@ -145,10 +147,14 @@ def _order(codes: np.ndarray, depth: int) -> np.ndarray:
     return np.lexsort([codes & 255, *((codes >> (8 * d)) & 255 for d in range(depth, 0, -1))])
 
 
-def _levels(codes: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list[_Level], list[np.ndarray]]:
-    """Levels ``top`` to ``depth - 1`` of nested grams, and each gram's context there.
+def _levels(
+    codes: np.ndarray, n: np.ndarray, depth: int, top: int = 2
+) -> tuple[list[_Level], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Levels ``top + 1`` to ``depth - 1`` of nested grams, and what they add to level ``top``.
 
-    The deepest level is only summed here; see ``_deepest``.
+    Gives the levels, each gram's context from ``top`` to ``depth``, and for every context of
+    ``top`` bytes the byte counts and the summed log Pw of the next longer contexts. The deepest
+    level is only summed here; see ``_deepest``.
     """
     numbers = []
     for d in range(top, depth + 1):
@@ -165,15 +171,14 @@ def _levels(codes: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[lis
         counts[first : local[-1] + first + 1] += _sum_by(local, level.counts, local[-1] + 1)
         longer[first : local[-1] + first + 1] += _sum_by(local, level.log_pw, local[-1] + 1)
     levels = []
-    for d in range(depth - 1, top - 1, -1):
+    for d in range(depth - 1, top, -1):
         level = _Level(counts, longer)
         levels.insert(0, level)
-        if d > top:
-            here, above = numbers[d - top], numbers[d - top - 1]
-            first = np.flatnonzero(np.append(True, np.diff(here) > 0))
-            counts = _sum_by(above[first], level.counts, above[-1] + 1)
-            longer = _sum_by(above[first], level.log_pw, above[-1] + 1)
-    return levels, numbers
+        here, above = numbers[d - top], numbers[d - top - 1]
+        first = np.flatnonzero(np.append(True, np.diff(here) > 0))
+        counts = _sum_by(above[first], level.counts, above[-1] + 1)
+        longer = _sum_by(above[first], level.log_pw, above[-1] + 1)
+    return levels, numbers, counts, longer
 
 
 def _deepest(codes: np.ndarray, n: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, _Level]]:
@@ -201,29 +206,45 @@ def _mix(mixed: np.ndarray, rest: np.ndarray, level: _Level, context: np.ndarray
     rest *= 1 - weight
 
 
-def _fold_group(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """What the contexts that share their last two bytes say to the context of one byte."""
+def _fold_piece(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
+    """What a piece of the contexts that share their last two bytes adds to the context of these."""
     codes, n = rows["gram"].to_numpy(), rows["n"].to_numpy(float)
     order = _order(codes, depth)
-    levels, _ = _levels(codes[order], n[order], depth, 2)
-    last = int(codes[0] >> 8) & 255
-    return pd.DataFrame({"last": [last], "counts": [levels[0].counts[0]], "longer": [levels[0].log_pw[0]]})
+    _, _, counts, longer = _levels(codes[order], n[order], depth)
+    return pd.DataFrame({"two": rows["two"].iloc[:1], "piece": rows["piece"].iloc[:1], "counts": [counts[0]], "longer": [longer[0]]})
+
+
+def _fold_pair(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sums of the pieces, always in the same order."""
+    rows = rows.sort_values("piece")
+    return pd.DataFrame({"two": rows["two"].iloc[:1], **{c: [np.sum(np.stack(rows[c].to_numpy()), axis=0)] for c in ("counts", "longer")}})
 
 
 def _fold_byte(rows: pd.DataFrame) -> pd.DataFrame:
-    total = {c: np.sum(np.stack(rows[c].to_numpy()), axis=0) for c in ("counts", "longer")}
-    return pd.DataFrame({"last": rows["last"].iloc[:1], **{c: [v] for c, v in total.items()}})
+    """What the contexts that share their last byte say to the context of this byte."""
+    rows = rows.sort_values("two")
+    level = _Level(*(np.stack(rows[c].to_numpy()) for c in ("counts", "longer")))
+    return pd.DataFrame({"last": rows["two"].iloc[:1] & 255, "counts": [level.counts.sum(axis=0)], "longer": [level.log_pw.sum(axis=0)]})
 
 
-def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
+def gram_probabilities(counts: DataFrame, depth: int = DEPTH, piece_grams: int = PIECE_GRAMS) -> DataFrame:
     """``gram, log_p`` (natural logarithm) from ``gram, n`` with ``n`` training counts."""
     if not 3 <= depth <= 5:
         raise ValueError("a depth of 3 to 5 bytes")
-    key = F.shiftright("gram", 8).bitwiseAND(0xFFFF).alias("_last_two")
-    schema = "last int, counts array<double>, longer array<double>"
-    pairs = counts.groupBy(key).applyInPandas(lambda rows: _fold_group(rows, depth), schema)
-    # One row per byte value: 256 rows at most.
-    ones = materialize(pairs, "contexts-2").groupBy("last").applyInPandas(_fold_byte, schema).toArrow().to_pandas()
+    two = F.shiftright("gram", 8).bitwiseAND(0xFFFF).cast("int").alias("two")
+    # A row per pair of bytes with many grams: 65,536 narrow rows at most.
+    large = counts.groupBy(two).agg(F.ceil(F.count("*") / piece_grams).alias("cut")).where("cut > 1")
+    third = F.shiftright("gram", 24).bitwiseAND(0xFF)
+    piece = F.coalesce(F.pmod(third, F.col("cut")), F.lit(0)).cast("int").alias("piece")
+    cut = counts.select("gram", "n", two).join(F.broadcast(materialize(large, "large-contexts")), "two", "left")
+    cut = cut.select("gram", "n", "two", piece)
+    arrays = "counts array<double>, longer array<double>"
+    pieces = cut.groupBy("two", "piece").applyInPandas(lambda rows: _fold_piece(rows, depth), f"two int, piece int, {arrays}")
+    pieces = materialize(pieces, "context-pieces")
+    # At most 65,536 rows, of which the driver sees 256 sums.
+    pairs = materialize(pieces.groupBy("two").applyInPandas(_fold_pair, f"two int, {arrays}"), "contexts-2")
+    last = F.col("two").bitwiseAND(0xFF)
+    ones = pairs.groupBy(last).applyInPandas(_fold_byte, f"last int, {arrays}").toArrow().to_pandas()
     byte_counts, longer = np.zeros((256, 256)), np.zeros((256, 256))
     for last, c, w in ones.itertuples(index=False):
         byte_counts[last], longer[last] = c, w
@@ -233,11 +254,12 @@ def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
         del level.counts, level.log_pw
     spread = counts.sparkSession.sparkContext.broadcast((none, one))
 
-    def score(rows: pd.DataFrame) -> pd.DataFrame:
+    def score(rows: pd.DataFrame, pair: pd.DataFrame) -> pd.DataFrame:
         codes, n = rows["gram"].to_numpy(), rows["n"].to_numpy(float)
         order = _order(codes, depth)
         codes, n = codes[order], n[order]
-        levels, numbers = _levels(codes, n, depth, 2)
+        levels, numbers, _, _ = _levels(codes, n, depth)
+        levels.insert(0, _Level(*(np.stack(pair[c].to_numpy()) for c in ("counts", "longer"))))
         out = np.empty(len(codes))
         nothing, last = spread.value
         for some, deepest in _deepest(codes, n, numbers[-1]):
@@ -251,7 +273,9 @@ def gram_probabilities(counts: DataFrame, depth: int = DEPTH) -> DataFrame:
             out[some] = np.log(mixed).sum(axis=1)
         return pd.DataFrame({"gram": codes, "log_p": out})
 
-    return counts.groupBy(key).applyInPandas(score, "gram bigint, log_p double")
+    told = pieces.select("two", "piece").join(pairs, "two")
+    together = cut.groupBy("two", "piece").cogroup(told.groupBy("two", "piece"))
+    return together.applyInPandas(score, "gram bigint, log_p double")
 
 
 def _slot(codes: np.ndarray, bits: int) -> np.ndarray:
@@ -294,11 +318,7 @@ class GramTable:
 
 
 def _numbered(block_bytes: int):
-    """Adds ``block`` to batches of id, held_out and text: the scan's partition and a piece of it.
-
-    Both passes scan the same files in the same splits, so blocks agree; a word or gram that
-    the second pass does not find would stop the query.
-    """
+    """Adds ``block`` to batches of id, held_out and text: the task's partition and a piece of it."""
 
     def number(batches):
         from pyspark import TaskContext
@@ -378,12 +398,11 @@ def _rows(block: int | None, name: str, values: pa.Array, n: pa.Array) -> Iterat
     yield from pa.Table.from_pydict(columns, schema=_ASKED).to_batches(max_chunksize=1 << 16)
 
 
-def _asked(documents: DataFrame, depth: int, block_bytes: int, words: bool, blockwise: bool) -> DataFrame:
+def _asked(blocked: DataFrame, depth: int, words: bool, blockwise: bool) -> DataFrame:
     """Distinct words per block and distinct grams, with their training counts.
 
-    Grams are distinct per task, or ``blockwise`` per block.
+    Grams are distinct per task, or ``blockwise`` per block. A block that two tasks read asks twice.
     """
-    numbered = _numbered(block_bytes)
 
     def read(batches):
         block, counter, held, counted = None, Counter(), set(), _GramCounts()
@@ -399,7 +418,7 @@ def _asked(documents: DataFrame, depth: int, block_bytes: int, words: bool, bloc
             codes, n = counted.take()
             yield from _rows(block if blockwise else None, "gram", pa.array(codes), pa.array(n))
 
-        for batch in numbered(batches):
+        for batch in batches:
             for is_held, text, at in zip(*(batch.column(i) for i in (1, 2, 3)), strict=True):
                 is_held, at = is_held.as_py(), at.as_py()
                 if block is not None and at != block:
@@ -416,7 +435,7 @@ def _asked(documents: DataFrame, depth: int, block_bytes: int, words: bool, bloc
             yield from words_of_block()
             yield from grams_so_far()
 
-    return documents.mapInArrow(read, "block bigint, word binary, gram bigint, n bigint")
+    return blocked.mapInArrow(read, "block bigint, word binary, gram bigint, n bigint")
 
 
 def score_texts(
@@ -439,10 +458,13 @@ def score_texts(
     rows = documents.select(
         F.col(id_col).cast("bigint").alias("doc_id"), held_out.alias("held_out"), F.col(text_col).cast("binary").alias("text")
     )
-    asked = materialize(_asked(rows, depth, block_bytes, True, False), "asked")
+    # Written once: both passes then see the same blocks, also when the rows come from a shuffle.
+    blocked = rows.mapInArrow(_numbered(block_bytes), "doc_id bigint, held_out boolean, text binary, block bigint")
+    blocked = materialize(blocked, "blocks")
+    asked = materialize(_asked(blocked, depth, True, False), "asked")
     same = Window.partitionBy("word")
     words = asked.where("word is not null").select(
-        "block", "word", F.sum("n").over(same).alias("n"), (F.min("block").over(same) == F.col("block")).alias("first")
+        "block", "word", F.sum("n").over(same).alias("n"), (F.row_number().over(same.orderBy("block")) == 1).alias("first")
     )
     words = materialize(words, "word-counts")
     kinds = F.count(F.when(F.col("n") > 0, 1))
@@ -457,7 +479,7 @@ def score_texts(
         known = chances.toArrow()
         spread = documents.sparkSession.sparkContext.broadcast(GramTable(known["gram"].to_numpy(), known["log_p"].to_numpy()))
     else:
-        wanted = _asked(rows, depth, block_bytes, False, True).where("gram is not null").select("block", "gram")
+        wanted = _asked(blocked, depth, False, True).where("gram is not null").select("block", "gram")
         found = materialize(wanted, "asked-grams").join(chances, "gram")
         answers = answers.unionByName(found.select("block", "gram", F.col("log_p").alias("value")), allowMissingColumns=True)
     below = total + distinct + 1
@@ -493,5 +515,4 @@ def score_texts(
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double, bits_per_byte double"
     )
-    blocked = rows.mapInArrow(_numbered(block_bytes), "doc_id bigint, held_out boolean, text binary, block bigint")
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(score, schema)

@@ -141,6 +141,40 @@ def test_gram_probabilities_follow_the_definition(spark):
             assert got[int.from_bytes(c + bytes([byte]), "big")] == pytest.approx(want, rel=1e-9)
 
 
+@pytest.mark.parametrize("depth", [3, 5])
+def test_large_groups_of_contexts_are_cut(spark, depth):
+    rng = random.Random(4)
+    codes, _ = ctw.grams([ctw.stream("".join(rng.choices("abc ", k=3000)).encode())[1]], depth)
+    counts = spark.createDataFrame(sorted(Counter(codes.tolist()).items()), "gram bigint, n bigint")
+    whole, cut = ({r["gram"]: r["log_p"] for r in ctw.gram_probabilities(counts, depth, size).collect()} for size in (10**6, 10))
+    assert whole.keys() == cut.keys() and len(whole) > 200
+    assert all(cut[g] == pytest.approx(whole[g], rel=1e-9) for g in whole)
+
+
+def test_gram_table_finds_all_and_only_its_own():
+    rng = np.random.default_rng(1)
+    codes = np.unique(rng.integers(0, 1 << 48, 5000))
+    table = ctw.GramTable(codes, codes.astype(float))
+    asked = rng.choice(codes, 20_000)
+    assert (table.find(asked) == asked).all() and table.find(codes[:0]).tolist() == []
+    with pytest.raises(ValueError, match="without a probability"):
+        table.find(np.append(asked, codes.max() + 1))
+
+
+def test_scores_do_not_depend_on_how_rows_arrive(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(50)]
+    docs = table(spark, [(i, " ".join(rng.choices(words, k=rng.randint(0, 20)))) for i in range(300)])
+    held = quality.held_out(F.col("doc_id"), 7, 2)
+    scores = [
+        sorted(map(tuple, ctw.score_texts(d, held, depth=3, block_bytes=200).collect()))
+        for d in (docs, docs.repartition(7), docs.orderBy(F.desc("text")))
+    ]
+    for other in scores[1:]:
+        assert [r[:5] for r in other] == [r[:5] for r in scores[0]]
+        assert [r[5:] for r in other] == [pytest.approx(r[5:]) for r in scores[0]]
+
+
 def test_scores_and_base(spark):
     rng = random.Random(3)
     words = ["alpha", "Beta", "gamma,", "delta", "é"]
