@@ -42,15 +42,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None
+) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Later steps start from files, so a lost executor costs one task and not the
-    whole lineage, and Catalyst knows the true size when it chooses a join.
+    whole lineage, and Catalyst knows the true size when it chooses a join. Tables of
+    much text take less disk with a ``compression`` stronger than the session's.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path, partitionBy=partition_by)
+    df.write.parquet(path, partitionBy=partition_by, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
