@@ -460,13 +460,13 @@ def score_texts(
     )
     # Written once: both passes then see the same blocks, also when the rows come from a shuffle.
     blocked = rows.mapInArrow(_numbered(block_bytes), "doc_id bigint, held_out boolean, text binary, block bigint")
-    blocked = materialize(blocked, "blocks")
-    asked = materialize(_asked(blocked, depth, True, False), "asked")
+    blocked = materialize(blocked, "blocks", compression="zstd")
+    asked = materialize(_asked(blocked, depth, True, False), "asked", compression="zstd")
     same = Window.partitionBy("word")
     words = asked.where("word is not null").select(
         "block", "word", F.sum("n").over(same).alias("n"), (F.row_number().over(same.orderBy("block")) == 1).alias("first")
     )
-    words = materialize(words, "word-counts")
+    words = materialize(words, "word-counts", compression="zstd")
     kinds = F.count(F.when(F.col("n") > 0, 1))
     total, distinct = words.where("first").agg(F.coalesce(F.sum("n"), F.lit(0)), kinds).first()
     gram_counts = asked.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
