@@ -4,10 +4,11 @@ URLs that a rule decides train two smoothed Markov models of variable order, one
 accepted and one of rejected URLs. Each order is interpolated with the one below it by how
 many different characters follow a context (Witten-Bell), so a context is used as far as it
 was seen. A URL without a rule is judged by its log-likelihood difference per character
-against a threshold calibrated on rule-decided URLs kept out of training.
+against a threshold calibrated on rule-decided URLs kept out of training. The models read
+whole URLs: scheme, host (A-Z lower-cased), path, query and fragment.
 
-Everything is columns, joins and aggregations. Equal host and path pairs count once. Counts
-are folded at the highest order before they are spread over the lower ones.
+Everything is columns, joins and aggregations. Equal URLs count once. Counts are folded at the
+highest order before they are spread over the lower ones.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from cantiga.session import materialize
 ORDER = 5
 # One text in five that a rule decides is kept for the threshold.
 CALIBRATION = 5
+# A URL with more rows than this gets its score in as many parts as have this many rows each.
+HOT_ROWS = 1_000_000
 # Scores are folded into steps of this size to find the threshold.
 STEP = 0.01
 _START, _END = "\u0001", "\u0002"
@@ -52,6 +55,14 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), "(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def whole_url(url: Column) -> Column:
+    """All of the URL with its host lower-cased; a null is empty, and one without ``://`` stays as it is."""
+    given = F.coalesce(url, F.lit(""))
+    front, host = F.regexp_extract(given, "(?s)^(.*?://)", 1), host_of(given)
+    rest = F.substring(given, F.length(front) + F.length(host) + 1, F.length(given))
+    return F.when(front == "", given).otherwise(F.concat(front, host, rest))
+
+
 def rule_for(host: Column, path: Column, rules: list[UrlRule], field: str) -> Column:
     """``field`` of the longest rule that fits, else null."""
     out = F.lit(None).cast("string")
@@ -164,16 +175,19 @@ def filter_urls(
     """``page_id, host, path, rule, verdict, score``, one row per page.
 
     A URL that is null or has no ``://`` has an empty host and path. ``score`` is the mean
-    log ratio per character for URLs without a rule, else null; an empty text is one end
-    character. Repeated rows stay. Only the id and the URL are read.
+    log ratio per character of the whole URL, for URLs without a rule, else null; a null or
+    empty URL is one end character. Repeated rows stay. Only the id and the URL are read.
     """
     url = F.col(url_col)
-    rows = pages.select(F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select(
+        F.col(id_col).alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), whole_url(url).alias("text")
+    )
     rows = rows.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules, "name"))
     rows = rows.withColumn("decided", rule_for(F.col("host"), F.col("path"), rules, "verdict"))
-    rows = materialize(rows.withColumn("text", F.concat("host", "path")), "urls")
+    rows = materialize(rows, "urls")
 
-    texts = rows.select("text", F.col("decided") == "allow").distinct().toDF("text", "accepted")
+    counted = rows.groupBy("text", (F.col("decided") == "allow").alias("accepted")).agg(F.count("*").alias("n"))
+    texts = counted.withColumn("parts", F.ceil(F.col("n") / HOT_ROWS)).drop("n")
     kept_out = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) == 0
     known = F.col("accepted").isNotNull()
     texts = materialize(texts.withColumn("judged", ~known | kept_out), "url-texts")
@@ -185,13 +199,20 @@ def filter_urls(
     # Rounded, so that the order of the sum cannot tip a verdict.
     score = F.round(F.avg("ratio"), 9).alias("score")
     scores = places.join(materialize(ratios, "url-ratios"), ["context", "sym"]).groupBy("key").agg(score)
-    scored = judged.select("key", "text", "accepted").join(materialize(scores, "url-scores"), "key")
+    scored = judged.select("key", "text", "accepted", "parts").join(materialize(scores, "url-scores"), "key")
     scored = materialize(scored, "url-judged")
     at = threshold(scored.where(known))
 
-    free = scored.where(~known).select("text", "score")
+    # A URL with a large share of the rows has its score in several parts. Of such URLs there are
+    # at most the rows over HOT_ROWS, so a hash of each goes to all rows.
+    free = scored.where(~known).select("text", "score", F.xxhash64("text").alias("h"))
+    hot = scored.where(~known & (F.col("parts") > 1)).groupBy(F.xxhash64("text").alias("h")).agg(F.max("parts").alias("parts"))
+    hot = F.broadcast(materialize(hot, "url-hot"))
+    parts = F.coalesce("parts", F.lit(1))
+    free = free.join(hot, "h", "left").select("text", "score", F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("part"))
     decided = rows.where(F.col("decided").isNotNull()).withColumn("score", F.lit(None).cast("double"))
-    open_ = rows.where(F.col("decided").isNull()).join(free, "text")
+    open_ = rows.where(F.col("decided").isNull()).withColumn("h", F.xxhash64("text")).join(hot, "h", "left")
+    open_ = open_.withColumn("part", F.pmod(F.xxhash64("page_id"), parts).cast("int")).join(free, ["text", "part"])
     verdict = F.coalesce("decided", F.when(F.col("score") >= at, "allow").otherwise("block"))
     columns = ["page_id", "host", "path", "rule", verdict.alias("verdict"), "score"]
     return decided.select(*columns).unionByName(open_.select(*columns))

@@ -90,6 +90,15 @@ def plain_judge(url):
     return host, path, max(fits, key=lambda r: len(r.name), default=None)
 
 
+def plain_text(url):
+    """The whole URL with its host lower-cased."""
+    if url is None or "://" not in url:
+        return url or ""
+    front, rest = url.split("://", 1)
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    return front + "://" + re.sub("[A-Z]", lambda m: m[0].lower(), host) + rest[len(host) :]
+
+
 def pages(spark, items):
     return spark.createDataFrame([(i, u, "t", "s", None) for i, u in items], "page_id bigint, url string, text string, score string, key int")
 
@@ -105,15 +114,18 @@ def test_hosts_paths_and_rules(spark):
         assert (row["score"] is None) == (rule is not None)
 
 
-def test_scores_equal_plain_models(spark):
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_scores_equal_plain_models(spark, monkeypatch, hot_rows):
     items = [f"http://{h}.com/{p}" for h in ("alpha", "beta", "gam") for p in ("x", "yy", "zzz/1", "q-2", "r")]
     items += [f"http://{h}.net/{lang}/{n}" for h in ("spam", "pills") for lang in ("es", "fr") for n in range(6)]
     items += ["http://alpha.org/x", "http://spam.org/es/3", "http://ünï.org/", "http://alpha.org/x", "nothing"]
+    items += ["http://Alpha.org/x?Page=1", "https://alpha.org/x#Part", "ünï, nothing else", None, "", "http://beta.com/x?q=1"]
+    monkeypatch.setattr(urls, "HOT_ROWS", hot_rows)
     out = {r["page_id"]: r for r in urls.filter_urls(pages(spark, list(enumerate(items))), URL_RULES, order=3).collect()}
     decided = {}
     for url in items:
-        host, path, rule = plain_judge(url)
-        decided[host + path] = rule and rule.verdict == "allow"
+        rule = plain_judge(url)[2]
+        decided[plain_text(url)] = rule and rule.verdict == "allow"
     held = spark.createDataFrame([(t,) for t in decided], "text string").selectExpr("text", "pmod(xxhash64(text), 5) = 0 AS held").collect()
     held = {r["text"] for r in held if r["held"]}
 
@@ -138,10 +150,14 @@ def test_scores_equal_plain_models(spark):
         return p
 
     for i, url in enumerate(items):
-        host, path, rule = plain_judge(url)
-        if rule is None:
-            all_ = [math.log(chance(True, *e) / chance(False, *e)) for e in events(host + path)]
+        if plain_judge(url)[2] is None:
+            all_ = [math.log(chance(True, *e) / chance(False, *e)) for e in events(plain_text(url))]
             assert out[i]["score"] == pytest.approx(sum(all_) / len(all_), abs=1e-8), url
+    assert len(out) == len(items)
+    # What differs behind the path alone is told apart.
+    at = {url: i for i, url in enumerate(items)}
+    assert out[at["nothing"]]["score"] != out[at[""]]["score"] == out[at[None]]["score"]
+    assert out[at["http://alpha.org/x"]]["score"] != out[at["http://Alpha.org/x?Page=1"]]["score"]
 
 
 def test_urls_without_rows_or_training(spark):
