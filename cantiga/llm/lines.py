@@ -13,11 +13,13 @@ powers of two at its start and its end, which overlap; so the union of overlappi
 is exactly the union of overlapping maximal runs, and that union is what is deleted.
 
 Ranks are counted per pair of ranks before they are shuffled, so a line with a third of all
-rows costs one row per follower.
+rows costs one row per follower, and the followers of a common line are numbered in parts.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,7 +28,7 @@ from cantiga.session import materialize
 
 # Runs with fewer words than this are left alone.
 MIN_WORDS = 5
-# Repeated lines of a bucket that is ordered in one piece.
+# Repeated lines of a bucket that is ordered in one piece, and ranks of one among followers.
 BUCKET_ROWS = 1 << 16
 # Documents with runs and runs that are broadcast: two or three numbers each, 32 MB at most.
 BROADCAST_RUNS = 500_000
@@ -66,7 +68,29 @@ def _first_ranks(lines: DataFrame) -> DataFrame:
     return names.join(F.broadcast(offsets), "b").select("h1", "h2", rank.alias("r"), "first")
 
 
-def suffix_ranks(lines: DataFrame) -> DataFrame:
+def _follower_ranks(pairs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``pairs`` of ``r, r2`` that ``n`` suffixes have, with ``before``: suffixes of the same ``r`` and a smaller ``r2``.
+
+    A rank with more followers than a bucket has them dealt by ranges of ``r2``, moved up by the
+    counts of the ranges before, so that no task orders all followers of a common line.
+    """
+    pairs = materialize(pairs, "follower-pairs")
+    # At most the pairs over ``bucket_rows``.
+    hot = pairs.groupBy("r").agg(F.count("*").alias("followers")).where(F.col("followers") > bucket_rows)
+    hot = F.broadcast(materialize(hot.select("r", F.lit(True).alias("hot")), "hot-ranks"))
+    whole = F.floor(F.col("r2") / bucket_rows)
+    dealt = pairs.join(hot, "r", "left").withColumn("part", F.when(F.col("hot"), whole).otherwise(F.lit(-1)))
+    counts = dealt.where("hot").groupBy("r", "part").agg(F.sum("n").alias("all"))
+    before = Window.partitionBy("r").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("r", "part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("r", "part").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    placed = placed.join(offsets, ["r", "part"], "left")
+    moved = F.col("before") + F.coalesce("offset", F.lit(0))
+    return placed.select(*pairs.columns, moved.alias("before"))
+
+
+def suffix_ranks(lines: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """The suffix array of the repeated lines, with the copies its intervals reveal.
 
     Gives ``doc_id, mark, pos, words, r, reach``: the suffix's rank, equal for suffixes
@@ -83,28 +107,29 @@ def suffix_ranks(lines: DataFrame) -> DataFrame:
     whole = Window.partitionBy("doc_id", "mark", "run")
     state = state.withColumn("left", F.max("pos").over(whole) + 1 - F.col("pos"))
     state = materialize(state, "suffixes-1")
-    k = 1
-    while state.where("live").limit(1).count():
+    # Finished suffixes are written once and only looked at by those before them.
+    live, done, k = state.where("live"), [state.where("not live")], 1
+    while live.limit(1).count():
         along = Window.partitionBy("doc_id", "mark", "run").orderBy("pos")
-        seen = state.withColumn("r2", F.coalesce(F.lead("r", k).over(along), F.lit(0)))
+        seen = reduce(DataFrame.unionByName, done, live)
+        seen = seen.withColumn("r2", F.coalesce(F.lead("r", k).over(along), F.lit(0))).where("live")
         seen = materialize(seen, f"suffix-pairs-{k}")
-        pairs = seen.where("live").groupBy("r", "r2").agg(F.count("*").alias("n"), F.min(here).alias("first"))
-        before = Window.partitionBy("r").orderBy("r2").rowsBetween(Window.unboundedPreceding, -1)
-        pairs = pairs.select(
-            "r", "r2", (F.col("r") + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("new"), "first",
+        pairs = seen.groupBy("r", "r2").agg(F.count("*").alias("n"), F.min(here).alias("first"))
+        pairs = _follower_ranks(pairs, bucket_rows).select(
+            "r", "r2", (F.col("r") + F.col("before")).alias("new"), "first",
             ((F.col("n") > 1) & (F.col("r2") > 0)).alias("still"),
         )
-        live = seen.where("live").join(pairs, ["r", "r2"])
         later = F.col("still") & (here > F.col("first"))
-        live = live.select(
+        state = seen.join(pairs, ["r", "r2"]).select(
             *_PLACE, "words", "run", F.col("new").alias("r"),
             F.when(later, F.least(F.lit(2 * k), "left")).otherwise(F.col("reach")).alias("reach"),
             F.col("still").alias("live"), "left",
         )
-        state = live.unionByName(seen.where("not live").drop("r2"))
         k *= 2
         state = materialize(state, f"suffixes-{k}")
-    return state.drop("run", "live", "left")
+        live = state.where("live")
+        done.append(state.where("not live"))
+    return reduce(DataFrame.unionByName, done).drop("run", "live", "left")
 
 
 def repeated_runs(suffixes: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -3,6 +3,7 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from cantiga.llm import lines
@@ -82,11 +83,12 @@ def test_empty_table_and_kept_columns(spark):
     assert out.collect() == [] and out.columns == ["doc_id", "text", "mark", "pos", "n_lines", "n_deleted"]
 
 
-def test_ranks_are_a_suffix_array(spark):
+@pytest.mark.parametrize("bucket_rows", [lines.BUCKET_ROWS, 2])
+def test_ranks_are_a_suffix_array(spark, bucket_rows):
     rng = random.Random(2)
     rows = [(d, "\n".join(rng.choice("abc") for _ in range(12))) for d in range(8)]
     marked = table(spark, rows).select("doc_id", lines.text_mark(F.col("doc_id"), F.col("text")).alias("mark"), "text")
-    ranks = {(r["doc_id"], r["pos"]): r["r"] for r in lines.suffix_ranks(lines._lines(marked)).collect()}
+    ranks = {(r["doc_id"], r["pos"]): r["r"] for r in lines.suffix_ranks(lines._lines(marked), bucket_rows).collect()}
     names = {r["h1"]: r["line"] for r in spark.sql("SELECT line, xxhash64(line) AS h1 FROM VALUES ('a'), ('b'), ('c') AS t(line)").collect()}
     order = {line: i for i, (_, line) in enumerate(sorted(names.items(), key=lambda x: x[0] % 2**64))}
     suffixes = {(d, p): [order[x] for x in t.split("\n")[p:]] for d, t in rows for p in range(12)}
