@@ -287,4 +287,26 @@ def test_threshold_keeps_the_asked_recall():
     windows = rng.integers(2, 96, (600, secrets.WINDOW)).astype(np.uint8)
     model = secrets.fit(windows, (rng.random(600) < 0.5).astype(float), recall=0.97)
     assert model.network is not None and model.recall >= 0.97 and model.precision < 0.9
-    assert secrets.fit(windows[:20], np.zeros(20)).network is None
+    assert secrets.fit(windows[:20], np.zeros(20)).network is None and secrets.fit(windows[:0], np.zeros(0)).network is None
+
+
+def test_one_finding_is_enough_for_a_network():
+    text = "the token=a8f3b27c91de4405 was left behind in " + " ".join(f"chapter{i} ordinary-word{i}" for i in range(40))
+    found = secrets.labelled(text, text.encode())
+    windows = np.array([np.frombuffer(w, dtype=np.uint8) for w, _ in found])
+    label = np.array([float(kind) for _, kind in found])
+    assert label.sum() == 1
+    model = secrets.fit(windows, label)
+    assert model.network is not None and model.recall >= 0.97
+    # Kinds left out are no secrets and nothing else.
+    assert not any(kind for _, kind in secrets.labelled(text, text.encode(), ("assign",)))
+    assert len(secrets.labelled(text, text.encode(), ("assign",))) == len(found) - 1
+
+
+def test_no_value_is_on_both_sides():
+    rng = np.random.default_rng(4)
+    windows = rng.integers(2, 5, (400, secrets.WINDOW)).astype(np.uint8)
+    windows[:, secrets.BEFORE + 3 : secrets.BEFORE + secrets.INSIDE] = 2
+    inside = slice(secrets.BEFORE, secrets.BEFORE + secrets.INSIDE)
+    trained, out = ({w[inside].tobytes() for w in part} for part in secrets.split_by_value(windows, rng))
+    assert len(trained | out) == 27 and not trained & out and len(out) == 5
