@@ -49,12 +49,16 @@ def letter_bucket(name: Column) -> Column:
 
 
 def export_name(artist: Column, song: Column) -> Column:
-    """``artist - song.txt`` with slashes replaced.
+    """``artist - song.txt`` with slashes replaced, whole."""
+    return F.replace(F.concat(artist, F.lit(" - "), song, F.lit(".txt")), F.lit("/"), F.lit("_"))
 
-    A name too long for a file system is cut and ends in a digest of the whole name,
-    so two long names stay apart.
+
+def file_name(name: Column) -> Column:
+    """An export name as a file system takes it.
+
+    A name that is too long is cut and ends in a digest of the whole name, so two long
+    names stay apart.
     """
-    name = F.replace(F.concat(artist, F.lit(" - "), song, F.lit(".txt")), F.lit("/"), F.lit("_"))
     # 50 characters take 200 bytes at most.
     cut = F.concat(F.substring(name, 1, 50), F.lit("~"), F.md5(name), F.lit(".txt"))
     return F.when(F.octet_length(name) > _FILE_NAME_BYTES, cut).otherwise(name)

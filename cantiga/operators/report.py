@@ -55,11 +55,9 @@ def release_names(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> Da
     named = lookup_join(wanted, owners, "artist_id", "inner", "song_id").withColumn(
         "filename", N.export_name(F.col("artist"), F.col("song"))
     )
-    named = materialize(named, "release-names")
-    place = F.struct("seq", "song_id")
-    last = named.groupBy("filename").agg(F.max(place).alias("_last"))
-    last = last.select("filename", "_last.song_id")
-    return named.join(last, ["filename", "song_id"], "left_semi")
+    # Position and id are unique, so the names behind them decide nothing.
+    last = F.max(F.struct("seq", "song_id", "song", "artist", "artist_id")).alias("_last")
+    return named.groupBy("filename").agg(last).select("_last.*", "filename")
 
 
 def release_rows(lyrics: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from cantiga.functions.names import file_name
+
 _WRITINGS = "token string, written_at timestamp"
 
 
@@ -79,13 +81,17 @@ class SongTextSource(DataSource):
 
 
 def write_song_files(rows: DataFrame, path: str) -> str:
-    """One UTF-8 text file per row, in a folder all executors can write to; gives that folder."""
+    """One UTF-8 text file per row, in a folder all executors can write to; gives that folder.
+
+    Only here are names cut to what a file system takes; rows and bundles hold them whole.
+    """
     # Executors get the writer itself and need no copy of this package.
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark, token = rows.sparkSession, uuid.uuid4().hex
     spark.dataSource.register(SongTextSource)
     folder = f"{path.rstrip('/')}/{token}"
-    rows.select("filename", "body").write.format("songtext").mode("append").save(folder)
+    files = rows.select(file_name(F.col("filename")).alias("filename"), "body")
+    files.write.format("songtext").mode("append").save(folder)
     listed = spark.range(1).select(F.lit(token).alias("token"), F.current_timestamp().alias("written_at"))
     listed.coalesce(1).write.mode("append").json(f"{path.rstrip('/')}/manifest")
     return folder

@@ -103,10 +103,12 @@ def test_export_name_and_body(spark):
     long = "ç" * 255
     row = spark.range(1).select(
         N.export_name(F.lit("AC/DC"), F.lit("T.N.T/live")),
-        N.export_name(F.lit(long), F.lit("one")),
-        N.export_name(F.lit(long), F.lit("two")),
+        N.file_name(N.export_name(F.lit(long), F.lit("one"))),
+        N.file_name(N.export_name(F.lit(long), F.lit("two"))),
         N.export_body(F.lit("Artist"), F.lit("Song"), F.lit("a\n\nb")),
     ).first()
     assert row[0] == "AC_DC - T.N.T_live.txt"
     assert row[1] != row[2] and all(len(x.encode()) <= 255 for x in row[1:3])
+    whole = spark.range(1).select(N.export_name(F.lit(long), F.lit("one")), N.file_name(F.lit("a - b.txt"))).first()
+    assert list(whole) == [long + " - one.txt", "a - b.txt"]
     assert row[3] == "Song\nArtist\n\na\n\nb"
