@@ -82,6 +82,39 @@ def test_large_profile_gives_the_same_scores(profile, verses):
     assert scores(0) == scores(10**6)
 
 
+def test_no_row_is_made_of_a_trigram(spark, profile, verses):
+    """A row per trigram took most of the time of every query that detects languages."""
+    for df in (
+        language.lang_profile(verses.select(F.lit("pt").alias("lang"), F.col("t").alias("text"))),
+        language.detect_language(verses, profile, LANGS, "id", "t"),
+    ):
+        assert "Generate" not in df._jdf.queryExecution().executedPlan().toString()
+    found = language.lang_scores(verses, profile, LANGS, "id", "t")
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("block", [1, 50, 1 << 20])
+def test_arrays_of_trigrams_equal_rows_of_them(spark, monkeypatch, block):
+    monkeypatch.setattr(language, "BLOCK_BYTES", block)
+    rows = [
+        ("pt", "Ação 𝐀𝐁 x"), (None, "sem língua"), ("en", ""), ("en", None), ("en", "a"), ("pt", "  "), ("es", "12 !"),
+        ("en", "a" * 5000), ("pt", "Ação 𝐀𝐁 x"), ("es", "İ ß ſ"),
+    ]
+    df = spark.createDataFrame([(i % 7, *r) for i, r in enumerate(rows)], "k int, lang string, text string").coalesce(1)
+    cut = df.select("lang", F.explode(language.trigrams(language.clean_for_detection(F.col("text")))).alias("gram"))
+    plain = {tuple(r) for r in cut.where("lang IS NOT NULL").groupBy("lang", "gram").count().collect()}
+    found = language.lang_profile(df)
+    assert {(r["lang"], r["gram"], r["n"]) for r in found.collect()} == plain
+    known = found.where("gram <> ' a '")
+
+    def scores(limit):
+        return sorted(tuple(r) for r in language.lang_scores(df, known, ["en", "es", "pt"], "k", "text", limit).collect())
+
+    assert scores(0) == scores(10**6) != []
+    nothing = known.where("false").unionByName(known.where("lang = 'es'"))
+    assert language.lang_scores(df.where("text = ''"), nothing, ["es"], "k", "text").isEmpty()
+
+
 def test_candidates_limit_the_answer(profile, verses):
     found = language.detect_language(verses, profile, ["en", "es"], "id", "t")
     assert {r["lang"] for r in found.collect()} <= {"en", "es"}
