@@ -160,6 +160,27 @@ def test_long_lists_look_at_rare_words_only(spark, monkeypatch, limit):
     assert anchors["the very rare9"] == ("rare9", 2) and anchors["lone wolf wolf"] == ("lone", 0)
 
 
+@pytest.mark.parametrize("block", [1, 40, 1 << 20])
+def test_only_runs_that_are_keywords_move(spark, monkeypatch, block):
+    """A row for each keyword of a common word, at each of its places, made the shuffle quadratic."""
+    monkeypatch.setattr(rules, "BLOCK_BYTES", block)
+    texts = [
+        "the a the b", "the", "b the", "the a", "É the 𝐀 c d e", "é THE 𝐀; c d", "c d e", "x", "a a a a", "", None, "the a the b",
+        *(" ".join(["the"] * 50 + [f"w{i}"]) for i in range(20)),
+    ]
+    listed = ["a the b", "é the 𝐀 c d", "the b the", "d e f", "a a a", "the the w7", "e x", "x", *(f"the the v{i}" for i in range(30))]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    words = rules.keywords_of(spark.createDataFrame([("titles", k) for k in listed], RULES), "titles")
+    moved = sorted(tuple(r) for r in rules._listed_runs(df, "i", "t", words).collect())
+    assert moved == sorted(
+        [(0, "a the b"), (11, "a the b"), (4, "é the 𝐀 c d"), (5, "é the 𝐀 c d"), (7, "x"), (8, "a a a"), (19, "the the w7")]
+    )
+    for limit in (0, 100):
+        found = rules.matching_ids(df, "i", "t", words, limit)
+        assert sorted(r["i"] for r in found.collect()) == sorted({i for i, _ in moved})
+    assert rules.matching_ids(df, "i", "t", words.limit(0)).isEmpty()
+
+
 def test_no_keywords_keep_all(spark):
     df = spark.createDataFrame([(1, "x")], "i int, t string")
     assert rules.exclude_keywords(df, spark.createDataFrame([], RULES), "titles", "i", "t").count() == 1
