@@ -141,3 +141,18 @@ def test_no_python_on_the_main_path(spark):
     docs, items = tables(spark, DOC_ROWS, ITEM_ROWS)
     plan = leaks.leak_report(docs, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan
+
+
+def test_only_words_are_lower_cased(spark):
+    """Lower-casing every whole text that is not plain ASCII, character by character, took much of the time."""
+    texts = ["A É bÇ-Z_9 Ünï İ", "PLAIN only", "", None, "\x00A\x7fB Æ𝐀B"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    found = df.select("i", leaks.words(F.col("t")).alias("w"), F.size(leaks.runs(F.col("t"))).alias("n")).orderBy("i").collect()
+    assert [r["w"] for r in found] == [["a", "É", "bÇ", "z", "9", "Ünï", "İ"], ["plain", "only"], [], [], ["a", "b", "Æ𝐀b"]]
+    assert [r["n"] for r in found] == [len(r["w"]) for r in found]
+    # All characters of ASCII, and some at the ends of the ranges beyond.
+    every = "".join(chr(c) + "m" * (c % 2) for c in [*range(1, 0x101), 0x7FF, 0x800, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x10FFFF])
+    one = spark.createDataFrame([(every, )], "t string").select(leaks.words(F.col("t"))).first()[0]
+    assert one == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in every))
+    plan = df.select(F.size(leaks.runs(F.col("t"))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lower" not in plan and "translate" not in plan
