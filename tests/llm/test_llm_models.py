@@ -259,6 +259,29 @@ def test_network_learns_what_secrets_look_like(spark):
     assert out[1].startswith("network:22:46") and out[2] == "" and out[3].count("assign:") == 1 and "network" not in out[3]
 
 
+def test_the_network_reads_many_texts_at_once(monkeypatch):
+    """A call for each text took most of the scan; what is found does not depend on the texts beside it."""
+    rng = np.random.default_rng(3)
+    network = secrets.CharacterNetwork(rng)
+    windows = rng.integers(0, 96, (200, secrets.WINDOW)).astype(np.uint8)
+    plain = network._features(network._responses(windows)) @ network.out
+    together = network.logits(windows)
+    assert np.allclose(together, plain, atol=1e-4)
+    assert (np.concatenate([network.logits(windows[i : i + 3]) for i in range(0, 200, 3)]) == together).all()
+    model = secrets.SecretModel(network, threshold=float(np.median(secrets._sigmoid(together))))
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(1, 60)))) for _ in range(300)]
+    texts = ["", "é", *(" é ".join(words[i : i + 7]) for i in range(0, 300, 7)), "token=abcdef123456 " + words[0] * 3]
+    texts = [(text, text.encode()) for text in texts]
+    one_by_one = [secrets.scan_text(*text, model) for text in texts]
+    assert any(kind == "network" for found in one_by_one for *_, kind in found)
+    calls = []
+    read = secrets.CharacterNetwork.logits
+    monkeypatch.setattr(secrets.CharacterNetwork, "logits", lambda self, w: calls.append(len(w)) or read(self, w))
+    assert list(secrets._scan_parts(texts, model)) == one_by_one and len(calls) == 1
+    monkeypatch.setattr(secrets, "SCAN_BYTES", 100)
+    assert list(secrets._scan_parts(texts, model)) == one_by_one and len(calls) > 10
+
+
 class LooksForX(secrets.CharacterNetwork):
     """Stands for a trained network: a window with an X inside the candidate is a secret."""
 
