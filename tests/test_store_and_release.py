@@ -5,6 +5,7 @@ from conftest import DAY_1, DAY_2
 from pyspark.sql import functions as F
 
 from cantiga.operators import report
+from cantiga.plans import queries
 from cantiga.schemas import ARTISTS, LYRICS, SONGS, TABLES
 from cantiga.sources import textfiles
 from cantiga.sources.store import (
@@ -17,7 +18,13 @@ from cantiga.sources.store import (
     restore_newest,
     version_diff,
 )
-from cantiga.sources.textfiles import read_bundle, song_folder, write_bundle, write_song_files
+from cantiga.sources.textfiles import (
+    read_bundle,
+    read_song_files,
+    song_folder,
+    write_bundle,
+    write_song_files,
+)
 
 TEXT = "Rain on the roof\nall night\n\nand a dry street\n  by noon "
 
@@ -147,6 +154,36 @@ def test_song_files_keep_the_text(spark, tables, tmp_path):
     assert song_folder(spark, path) == nothing and files_of(nothing) == {}
 
 
+def test_song_files_are_read_by_bucket(spark, tmp_path):
+    ids = spark.range(9000)
+    name = "CASE id WHEN 1 THEN '_a+b' WHEN 2 THEN '.c%20d' WHEN 3 THEN 'é ~#?' ELSE 'n' || id END"
+    sources = {
+        "documents": ids.selectExpr("id AS doc_id", "'text ' || id AS text"),
+        "orders": ids.selectExpr(
+            "id AS o_orderkey", "id AS o_custkey", "'1+x' AS o_orderpriority", "'F' AS o_orderstatus", "1.0D AS o_totalprice"
+        ),
+        "customer": ids.selectExpr("id AS c_custkey", f"{name} AS c_name", "1.0D AS c_acctbal"),
+    }
+    for table, rows in sources.items():
+        rows.write.parquet(str(tmp_path / f"{table}.parquet"))
+    found = queries.song_files(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 256
+    wanted = queries.release_rows(spark, str(tmp_path)).select("filename", "digest").collect()
+    assert len(wanted) == 9000 and sorted(found.collect()) == sorted(wanted)
+
+
+def test_song_files_are_read_by_byte(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(textfiles, "_BATCH_BYTES", 4)
+    bodies = {f"{i}.txt": b"\r\n x \xc3\xa9\n" * i for i in range(5)} | {"raw.txt": b"\xff\x00"}
+    rows = spark.createDataFrame(list(bodies.items()), "filename string, body binary")
+    folder = write_song_files(rows.withColumn("body", F.col("body").cast("string")), str(tmp_path / "texts"))
+    for path in (folder, f"file://{folder}/"):
+        back = read_song_files(spark, path).withColumn("body", F.col("body").cast("binary")).collect()
+        assert {r["filename"]: bytes(r["body"]) for r in back} == bodies and len(back) == len(bodies)
+    nothing = write_song_files(rows.limit(0).withColumn("body", F.lit("")), str(tmp_path / "texts"))
+    assert read_song_files(spark, nothing).count() == 0
+
+
 def test_a_broken_export_leaves_the_release_before(spark, tables, tmp_path, monkeypatch):
     rows = report.release_rows(released(tables), tables["songs"], tables["artists"])
     path = str(tmp_path / "texts")
