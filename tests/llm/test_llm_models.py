@@ -333,3 +333,104 @@ def test_no_value_is_on_both_sides():
     inside = slice(secrets.BEFORE, secrets.BEFORE + secrets.INSIDE)
     trained, out = ({w[inside].tobytes() for w in part} for part in secrets.split_by_value(windows, rng))
     assert len(trained | out) == 27 and not trained & out and len(out) == 5
+
+
+def test_gradients_are_those_of_every_character():
+    rng = np.random.default_rng(6)
+    network = secrets.CharacterNetwork(rng)
+    x = rng.integers(0, 96, (30, secrets.WINDOW)).astype(np.uint8)
+    x[:, 40:60] = 0
+    label, share, n = (rng.random(30) < 0.5).astype(float), np.full(30, 1 / 30), network.FILTERS
+    responses = network._responses(x)
+    features = network._features(responses)
+    error = ((secrets._sigmoid(features @ network.out) - label) * share).astype(np.float32)
+    grown = np.zeros_like(responses)
+    for i, (a, b) in enumerate(network.PARTS):
+        best, mean = (error[:, None] * network.out[None, k * n : (k + 1) * n] for k in (i, i + len(network.PARTS)))
+        np.put_along_axis(grown, responses[:, a:b].argmax(axis=1)[:, None] + a, best[:, None], axis=1)
+        grown[:, a:b] += mean[:, None] / (b - a)
+    grown *= responses > 0
+    filters, padded = np.zeros_like(network.filters), np.pad(x, ((0, 0), (2, 2)))
+    for i in range(network.WIDTH):
+        np.add.at(filters[i], padded[:, i : i + secrets.WINDOW].ravel(), grown.reshape(-1, n))
+    for told, plain in zip(network._gradients(x, label, share), (filters, grown.sum(axis=(0, 1)), features.T @ error), strict=True):
+        assert np.allclose(told, plain, atol=1e-6)
+
+
+def kept_in(shards) -> dict[tuple[int, int], list[bytes]]:
+    kept = {}
+    for r in shards.collect():
+        w = bytes(r["windows"])
+        parts = [w[at : at + secrets.WINDOW] for at in range(0, len(w), secrets.WINDOW)]
+        assert len(parts) == r["n"] <= secrets.ROW
+        kept.setdefault((r["shard"], r["label"]), []).extend(parts)
+    return kept
+
+
+def test_learning_reads_every_window(spark, monkeypatch):
+    """4,000 windows of each class at most were learned from, of 20,000 documents."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghij", k=12)) for _ in range(5000)]
+    texts = [" ".join(words[:2500]), " ".join(words[2500:]), "the token=a8f3b27c91de4405 was left", None, "", " ".join(words[:2500])]
+    wanted = {x for text in texts for x in secrets.labelled(text or "", (text or "").encode())}
+    given = []
+    monkeypatch.setattr(secrets, "fit", lambda w, y: given.append((w, y)))
+    secrets.learn(table(spark, list(enumerate(texts))))
+    [(windows, label)] = given
+    assert len(windows) == len(wanted) > 5000
+    assert {(w.tobytes(), int(y)) for w, y in zip(windows, label, strict=True)} == wanted
+
+
+def test_many_shards_learn_from_every_window_whatever_the_partitions(spark, monkeypatch):
+    rng = random.Random(8)
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    rows = [(i, f"some words user{i % 97}@mail.example.com order-number-{i % 50} and " + (f'token = "{hexes(28)}"' if i % 8 == 0 else "nothing at present") + " more") for i in range(1600)]
+    rows += [(None, None), *rows[:40]]
+    wanted = {x for _, text in rows for x in secrets.labelled(text or "", (text or "").encode())}
+    seen = []
+    dealt = secrets.window_shards
+    monkeypatch.setattr(secrets, "SHARD_BYTES", 50_000)
+    monkeypatch.setattr(secrets, "window_shards", lambda *args: seen.append(dealt(*args)) or seen[-1])
+    one, two = secrets.learn(table(spark, rows).repartition(3)), secrets.learn(table(spark, rows[::-1]).coalesce(1))
+    kept = kept_in(seen[0])
+    others = [w for (_, label), own in kept.items() if not label for w in own]
+    assert len({shard for shard, _ in kept}) == 3 and kept == kept_in(seen[1])
+    assert sorted(others) == sorted(w for w, kind in wanted if not kind)
+    found = {label: own for (shard, label), own in kept.items() if shard == 0}[1]
+    assert {w for (_, label), own in kept.items() if label for w in own} == {w for w, kind in wanted if kind}
+    assert len(found) == len(set(found))
+    assert np.allclose(one.network.filters, two.network.filters, atol=1e-5) and abs(one.threshold - two.threshold) < 1e-6
+    assert one.recall >= 0.97 and one.precision >= 0.95
+    probe = f"the access code reads {hexes(28)} here"
+    assert [k for *_, k in secrets.scan_text(probe, probe.encode(), one)] == ["network"]
+    assert secrets.scan_text(rows[1][1], rows[1][1].encode(), one) == []
+
+
+def test_one_secret_is_in_every_shard(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "SHARD_BYTES", 3_000)
+    rows = [(i, f"chapter{i} holds ordinary-word{i % 300} and sentence-{i} of text") for i in range(300)] + [(300, "the token=a8f3b27c91de4405 was left")]
+    seen = []
+    dealt = secrets.window_shards
+    monkeypatch.setattr(secrets, "window_shards", lambda *args: seen.append(dealt(*args)) or seen[-1])
+    monkeypatch.setattr(secrets, "train_shards", lambda windows, splits: splits)
+    monkeypatch.setattr(secrets, "judge_shards", lambda windows, splits, network: splits)
+    splits = secrets.learn(table(spark, rows))
+    kept = kept_in(seen[0])
+    assert len(kept) > 8 and all(len(own) == 1 for (_, label), own in kept.items() if label)
+    assert {shard for shard, label in kept if label} == {shard for shard, label in kept if not label}
+    assert splits[1].single and splits[0].fifth
+
+
+def test_values_are_split_however_few():
+    windows = np.zeros((6, secrets.WINDOW), np.uint8)
+    windows[:, secrets.BEFORE] = [5, 5, 6, 7, 7, 7]
+    v = secrets._values(windows)
+    assert len(set(v.tolist())) == 3
+    for some in (windows[:2], windows[:3], windows):
+        v = secrets._values(some)
+        out = int((v % 5 == 0).sum())
+        split = secrets._value_split({"n": len(v), "fifth": out, "least": int(v.min()), "most": int(v.max())})
+        trained, kept_out = split.sides(some)
+        assert len(trained) and len(kept_out)
+        both = {w.tobytes() for w in trained} & {w.tobytes() for w in kept_out}
+        assert bool(both) == (len(set(v.tolist())) == 1) and (split.single or len(trained) + len(kept_out) == len(some))
